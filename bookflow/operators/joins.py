@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A store master row is ~100-200 bytes; 250k rows stay well under 64 MiB.
+DIMENSION_MAX_ROWS = 250_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only when ``df`` provably holds at most ``max_rows`` rows.
+
+    The bound is checked with ``limit(max_rows + 1).count()``, which stops
+    reading once the bound is exceeded. Beyond it the plain DataFrame is
+    returned and Catalyst/AQE choose a shuffle join (with AQE skew splitting).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
