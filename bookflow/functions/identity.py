@@ -19,6 +19,12 @@ _UPPER_HEX_ESCAPES = ["000B", "000E", "000F", "001A", "001B", "001C", "001D", "0
 _NEEDS_ESCAPE = r"[\x00-\x1f\"\\]"
 
 
+def _lower_hex_escapes(j: Column) -> Column:
+    for h in _UPPER_HEX_ESCAPES:
+        j = F.replace(j, F.lit("\\u" + h), F.lit("\\u" + h.lower()))
+    return j
+
+
 def json_string(c) -> Column:
     """JSON string literal of a string column (NULL stays NULL).
 
@@ -29,12 +35,22 @@ def json_string(c) -> Column:
     """
     c = _c(c)
     slow = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":"(.*)"\}$', 1)
-    for h in _UPPER_HEX_ESCAPES:
-        slow = F.replace(slow, F.lit("\\u" + h), F.lit("\\u" + h.lower()))
-    body = F.when(c.rlike(_NEEDS_ESCAPE), slow).otherwise(c)
+    body = F.when(c.rlike(_NEEDS_ESCAPE), _lower_hex_escapes(slow)).otherwise(c)
     return F.concat(F.lit('"'), body, F.lit('"'))
 
 
+def json_members(*members: tuple[str, Column]) -> Column:
+    """``"k1":v1,"k2":v2`` for string members that are always present
+    (NULL -> ``null``). One guard and one ``to_json`` serve the group."""
+    fast = F.concat_ws(
+        ",", *[F.concat(F.lit(f'"{k}":'), F.coalesce(_quoted(v), F.lit("null"))) for k, v in members]
+    )
+    as_json = F.to_json(F.struct(*[v.alias(k) for k, v in members]), {"ignoreNullFields": "false"})
+    slow = _lower_hex_escapes(F.regexp_extract(as_json, r"(?s)^\{(.*)\}$", 1))
+    needs = F.concat_ws("", *[v for _, v in members]).rlike(_NEEDS_ESCAPE)
+    return F.when(needs, slow).otherwise(fast)
+
+
 def _quoted(c) -> Column:
     """JSON literal of a value that never needs escaping (dates, HH:mm:ss)."""
     return F.concat(F.lit('"'), _c(c), F.lit('"'))
@@ -68,14 +84,12 @@ def record_hash(
     date_str = lambda c: _quoted(F.date_format(_c(c), "yyyy-MM-dd"))
     parts = [  # sorted key order
         _field("booking_date", date_str(booking_date), _c(booking_date_raw)),
-        _field("channel", json_string(channel)),
-        _field("course_name", json_string(course_name)),
+        json_members(("channel", _c(channel)), ("course_name", _c(course_name))),
         _field("end_time", _quoted(end_time), _c(end_time_raw)),
         _field("headcount", _c(headcount).cast("string"), _c(headcount_raw)),
         _field("reserve_date", date_str(reserve_date), _c(reserve_date_raw)),
         _field("start_time", _quoted(start_time), _c(start_time_raw)),
-        _field("status", json_string(status)),
-        _field("store_id", json_string(store_id)),
+        json_members(("status", _c(status)), ("store_id", _c(store_id))),
     ]
     return F.md5(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
 

@@ -26,13 +26,37 @@ def is_blank(c) -> Column:
     return c.isNull() | (c == F.lit(""))
 
 
+def _format_guard(c: Column, fmt: str) -> Column:
+    """A cheap *necessary* condition for ``try_to_date(c, fmt)`` to succeed.
+
+    A failed parse costs an exception inside the JVM, so attempts that cannot
+    succeed are skipped. Every guard only tests things the format requires
+    (its separator, a year field of at least 4 characters, a month field not
+    above 12), so the guarded chain returns exactly what the plain ordered
+    chain returns.
+    """
+    seps = [ch for ch in fmt if not ch.isalpha()]
+    if not seps:
+        return F.lit(True)
+    sep = seps[0]
+    cond = F.instr(c, sep) > 0
+    if fmt.startswith("yyyy"):
+        cond = cond & (F.instr(c, sep) >= 5)
+    if fmt.endswith("yyyy"):
+        cond = cond & (F.length(F.substring_index(c, sep, -1)) >= 4)
+    if fmt.startswith("M" + sep):
+        first = F.substring_index(c, sep, 1).try_cast("int")
+        cond = cond & F.coalesce(first <= 12, F.lit(True))
+    return cond
+
+
 def parse_date(c, formats: Iterable[str]) -> Column:
     """First format that parses the whole string strictly wins; otherwise NULL.
 
     Impossible dates (2024-02-31) are NULL, never rolled over.
     """
     c = _c(c)
-    attempts = [F.try_to_date(c, fmt) for fmt in formats]
+    attempts = [F.when(_format_guard(c, fmt), F.try_to_date(c, fmt)) for fmt in formats]
     return F.when(~is_blank(c), F.coalesce(*attempts))
 
 
@@ -45,12 +69,14 @@ def parse_time(c) -> Column:
 
     The pattern has no end anchor (``18:30以降`` -> ``18:30:00``) and no
     range check (``25:00`` -> ``25:00:00``); range is checked by validation.
+    One regex extracts the matched prefix; the parts are split off it.
     """
     c = _c(c)
-    hh = F.lpad(F.regexp_extract(c, TIME_PATTERN, 1), 2, "0")
-    mm = F.regexp_extract(c, TIME_PATTERN, 2)
-    ss = F.coalesce(F.nullif(F.regexp_extract(c, TIME_PATTERN, 3), F.lit("")), F.lit("00"))
-    return F.when(~is_blank(c) & time_is_parsable(c), F.concat_ws(":", hh, mm, ss))
+    m = F.regexp_extract(c, TIME_PATTERN, 0)
+    parts = F.split(m, ":")
+    hh = F.lpad(F.get(parts, 0), 2, "0")
+    ss = F.coalesce(F.get(parts, 2), F.lit("00"))
+    return F.when(~is_blank(c) & (m != ""), F.concat_ws(":", hh, F.get(parts, 1), ss))
 
 
 def valid_time_of_day(c) -> Column:

@@ -43,30 +43,33 @@ def identify(typed: DataFrame, store_names: DataFrame, run_id, ingestion_ts, pro
              keep: Iterable[str] = ()) -> DataFrame:
     """J1 + P2/P3: join each line to its store, standardise, key, hash."""
     p = get_profile(profile)
-    stores = broadcast_if_small(store_names.select("store_id", "store_name"))
-    j = typed.join(stores, "store_id", "inner")
-    channel = map_with_fallback("channel_raw", p.channel_map)
-    status = map_with_fallback("status_raw", p.status_map)
-    course = F.nullif(F.col("course_name"), F.lit(""))
-    out = j.select(
+    # store_id and store_name both come from the store master (the joined
+    # side), as each record takes its store's identity.
+    stores = broadcast_if_small(
+        store_names.select(F.col("store_id").alias("_m_store_id"), F.col("store_name").alias("_m_store_name"))
+    )
+    j = typed.join(stores, typed["store_id"] == stores["_m_store_id"], "inner")
+    # Two projections: standardised channel/status are used twice (output and
+    # hash), so they are computed once and referenced, not inlined twice.
+    std = j.select(
+        *[F.col(c) for c in keep],
+        F.col("_m_store_id").alias("store_id"), F.col("_m_store_name").alias("store_name"), "reserve_date", "booking_date", "start_time", "end_time", "headcount",
+        "reservation_id", "channel_raw", "reserve_date_raw", "booking_date_raw", "start_time_raw",
+        "end_time_raw", "headcount_raw",
+        F.col("course_name").alias("_course_raw"),
+        F.nullif(F.col("course_name"), F.lit("")).alias("course_name"),
+        map_with_fallback("channel_raw", p.channel_map).alias("channel"),
+        map_with_fallback("status_raw", p.status_map).alias("status"),
+    )
+    return std.select(
         *[F.col(c) for c in keep],
-        F.col("store_id"),
-        F.col("store_name"),
-        F.col("reserve_date"),
-        F.col("booking_date"),
-        F.col("start_time"),
-        F.col("end_time"),
-        course.alias("course_name"),
-        F.col("headcount"),
-        channel.alias("channel"),
-        status.alias("status"),
+        *[c for c in RESERVATION_COLUMNS[:10]],
         F.lit(VENDOR).alias("vendor"),
         _ts(ingestion_ts).alias("ingestion_ts"),
         (run_id if isinstance(run_id, Column) else F.lit(run_id)).alias("run_id"),
-        record_key(course_name_raw=F.col("course_name")).alias("record_key"),
-        record_hash(course_name=course, channel=channel, status=status).alias("record_hash"),
+        record_key(course_name_raw=F.col("_course_raw")).alias("record_key"),
+        record_hash().alias("record_hash"),
     )
-    return out
 
 
 def reject_reason(df: DataFrame) -> Column:

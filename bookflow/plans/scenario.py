@@ -17,7 +17,7 @@ from bookflow.operators.merge import merged_table
 from bookflow.operators.normalize import normalize, valid_rows
 from bookflow.operators.stage import stage_dedup, stage_rows, stage_union
 from bookflow.operators.stores import active_stores
-from bookflow.session import configure
+from bookflow.session import configure, materialize
 from bookflow.sources import fixtures
 from bookflow.sources.stores import normalize_store_master
 
@@ -72,7 +72,10 @@ class Scenario:
         return merged_table(self.target, self.source)
 
 
-def build(spark: SparkSession, sf_dir: str, profile="executed") -> Scenario:
+def build(spark: SparkSession, sf_dir: str, profile="executed", persist_stage: bool = True) -> Scenario:
+    """Both runs' loads, the stage table, production after run A and run B's
+    deduplicated source. With ``persist_stage`` the stage is written once
+    (as the pipeline's stage table is) and everything downstream reads it."""
     configure(spark)
     a = normalized_run_a(spark, sf_dir, profile)
     b = normalized_run_b(spark, sf_dir, profile)
@@ -83,6 +86,10 @@ def build(spark: SparkSession, sf_dir: str, profile="executed") -> Scenario:
     )
     load_b = stage_union(stage_rows(valid_rows(b_valid)), stage_rows(valid_rows(second)))
     stage = stage_union(load_a, load_b)
+    if persist_stage:
+        stage = materialize(stage, "stage", partition_by="ingestion_date")
+        load_a = stage.filter(F.col("run_id") == fixtures.RUN_A["run_id"])
+        load_b = stage.filter(F.col("run_id") == fixtures.RUN_B["run_id"])
     # Production after run A: run A's dedup merged into an empty table = all inserts.
     target = stage_dedup(stage, fixtures.RUN_A["run_id"])
     source = stage_dedup(stage, fixtures.RUN_B["run_id"])

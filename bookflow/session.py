@@ -30,6 +30,11 @@ SCALE_CONFS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+    # fused stage beyond that runs interpreted. Above it, Spark keeps
+    # per-operator code for that subtree only (normalisation is one wide
+    # projection chain; aggregations and joins stay fused).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -91,3 +96,20 @@ def ensure_dir(p: str) -> str:
     if "://" not in lp:
         os.makedirs(lp, exist_ok=True)
     return p
+
+
+def materialize(df, purpose: str, partition_by: str | None = None):
+    """Write ``df`` once as parquet under the checkpoint root and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing the
+    whole upstream plan) and splits a long plan into stages that Spark can
+    compile and schedule separately. The schema is re-applied on read so
+    partition columns keep their types.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
