@@ -263,3 +263,67 @@ def oracle_sql() -> dict[str, str]:
 
     q = oracle_queries()
     return {k: q[k] for k in _QUERIES if k in q}
+
+
+# --- file-based operators (written under spark.checkpoint.dir) ---------------
+
+def q_csv_scan(spark, d):
+    """The export lines written as Shift_JIS CSV per store, scanned back
+    in one pass and bound by header name."""
+    from bookflow.operators.mapping import map_columns
+    from bookflow.session import scratch_path
+    from bookflow.sources.csv_files import scan_exports, write_exports
+
+    configure(spark)
+    path = scratch_path(spark, "exports")
+    write_exports(fixtures.reservations_export(spark, d), path)
+    lines, _bad = scan_exports(spark, path)
+    m = map_columns(lines, keep=("store_id", "src_key"))
+    return m.withColumn("src_key", F.col("src_key").cast("bigint"))
+
+
+def q_landing_roundtrip(spark, d):
+    """L2 + C3: run A's valid rows written as landing CSV and read back by name."""
+    from bookflow.plans import landing as L
+    from bookflow.session import scratch_path
+
+    configure(spark)
+    root = scratch_path(spark, "landing")
+    L.write_landing(valid_rows(_run_a(spark, d)), root)
+    return L.read_landing(spark, f"{root}/{L.DATA}")
+
+
+def q_stream_stage(spark, d):
+    """Both runs' loads landed as files, ingested by the availableNow stream."""
+    from bookflow.plans import landing as L
+    from bookflow.session import scratch_path
+    from bookflow.streaming.landing_ingest import read_stage_sink, start_stage_ingest
+
+    s = S.build(spark, d)
+    root = scratch_path(spark, "landing")
+    L.write_landing(s.load_a, root)
+    L.write_landing(s.load_b, root)
+    stage_path = scratch_path(spark, "stage")
+    q = start_stage_ingest(spark, root, stage_path, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return read_stage_sink(spark, stage_path)
+
+
+def q_landing_inventory(spark, d):
+    """C4: listing of landing files joined to the manifest (first 100 by path)."""
+    from bookflow.plans import landing as L
+    from bookflow.session import scratch_path
+
+    s = S.build(spark, d)
+    root = scratch_path(spark, "landing")
+    L.write_landing(s.load_a, root)
+    L.write_landing(s.load_b, root)
+    return L.inventory(spark, root).drop("modificationTime", "length", "path")
+
+
+_QUERIES.update({
+    "csv_scan": q_csv_scan,
+    "landing_roundtrip": q_landing_roundtrip,
+    "stream_stage": q_stream_stage,
+    "landing_inventory": q_landing_inventory,
+})

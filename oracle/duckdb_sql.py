@@ -376,5 +376,6 @@ SELECT run_id, MIN(ingestion_ts) AS run_started,
        'rb_' || strftime(MIN(ingestion_ts) + INTERVAL 9 HOUR, '%Y%m%d_%H%M%S') AS derived_run_id
 FROM stage GROUP BY run_id"""
     q["csv_scan"] = q["map_columns"]
+    q["landing_roundtrip"] = q["valid_rows"]
     q["stream_stage"] = q["stage_union"]
     return q
