@@ -111,6 +111,7 @@ def _drop_partition_data(spark: SparkSession, table: str, column: str, value) ->
         f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE'{lit}') "
         f"SELECT {nulls} FROM (SELECT 1) WHERE false"
     )
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE'{lit}')")
 
 
 def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:

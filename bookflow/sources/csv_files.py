@@ -39,8 +39,8 @@ def _reader(spark: SparkSession, encoding: str):
 def header_columns(spark: SparkSession, path: str, encoding: str = CSV_ENCODING) -> list[str]:
     """Column names from the export header (reads the header line only)."""
     configure(spark)
-    names = _reader(spark, encoding).load(path).columns
-    return [n for n in names]
+    # Without partition inference, so folder levels are not taken for header names.
+    return _reader(spark, encoding).option("recursiveFileLookup", True).load(path).columns
 
 
 def scan_exports(
