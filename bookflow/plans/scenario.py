@@ -79,6 +79,9 @@ def build(spark: SparkSession, sf_dir: str, profile="executed", persist_stage: b
     configure(spark)
     a = normalized_run_a(spark, sf_dir, profile)
     b = normalized_run_b(spark, sf_dir, profile)
+    if persist_stage:
+        # Run B feeds two loads; normalise it once.
+        b = materialize(b, "normalized-b")
     load_a = stage_rows(valid_rows(a))
     b_valid = b.filter(F.col("reject_reason") == "")
     second = b_valid.filter(F.col("src_key") % 20 == 0).withColumn(
