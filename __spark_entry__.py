@@ -321,7 +321,20 @@ def q_landing_inventory(spark, d):
     return L.inventory(spark, root).drop("modificationTime", "length", "path")
 
 
+def q_kpi_view(spark, d):
+    """The KPI view registered in the session and queried through SQL."""
+    R.register_kpi_view(S.build(spark, d).merged(), "vw_daily_kpi")
+    return spark.sql("SELECT * FROM vw_daily_kpi")
+
+
+def q_run_totals(spark, d):
+    """A4 totals: stores and records per status for run A."""
+    return RU.run_totals(RU.run_summary(S.active(spark, d), _run_a(spark, d)))
+
+
 _QUERIES.update({
+    "kpi_view": q_kpi_view,
+    "run_totals": q_run_totals,
     "csv_scan": q_csv_scan,
     "landing_roundtrip": q_landing_roundtrip,
     "stream_stage": q_stream_stage,

@@ -34,6 +34,7 @@ class RunResult:
     rejected: DataFrame
     rejected_files: DataFrame
     merge: dict | None
+    load: dict | None = None
 
 
 def run_id_of(spark: SparkSession, run_ts: str) -> str:
@@ -77,7 +78,7 @@ def daily_run(
 
     L.write_landing(valid, landing_root)
     TB.create_tables(spark, database, tables_root)
-    TB.append_stage(spark, database, valid)
+    result.load = TB.append_stage(spark, database, valid)
     rejected.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(
         f"{tables_root.rstrip('/')}/quarantine"
     )
@@ -89,9 +90,11 @@ def daily_run(
 
 def manual_backfill(spark: SparkSession, path: str, database: str, tables_root: str, run_id: str) -> dict:
     """Load landing-format files from ``path`` into stage under
-    ``run_id`` and merge that run."""
+    ``run_id`` and merge that run; returns load (A6) and merge (A3) counts."""
     configure(spark)
-    rows = L.read_landing(spark, path).withColumn("run_id", F.lit(run_id))
     TB.create_tables(spark, database, tables_root)
-    TB.append_stage(spark, database, rows)
-    return TB.apply_merge(spark, database, stage_dedup(TB.read_stage(spark, database), run_id))
+    load = TB.load_files_to_stage(
+        spark, database, path, lambda s, p: L.read_landing(s, p).withColumn("run_id", F.lit(run_id))
+    )
+    merge = TB.apply_merge(spark, database, stage_dedup(TB.read_stage(spark, database), run_id))
+    return {"load": load, "merge": merge}

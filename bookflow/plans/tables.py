@@ -11,14 +11,16 @@ partitions it touches:
 1. classify the deduplicated run against the production *keys* (five
    columns pruned from the scan) and write the classified run to scratch
    (cuts lineage; survives executor loss; read twice);
-2. touched partitions = new dates of inserts/updates + old dates of
-   updated rows (an update can move a row to another date);
-3. new content of a touched partition = its current rows minus updated
-   keys, plus inserted and updated rows; written to scratch first (a table
-   being read cannot be overwritten), then swapped in by dynamic partition
-   overwrite;
-4. a touched partition left empty is removed explicitly (dynamic overwrite
-   alone would keep its old files).
+2. partitions to rewrite = new and old dates of *updated* rows (an update
+   can move a row to another date); partitions that only receive inserts
+   are not rewritten, the inserts are appended (copy-on-write only where
+   rows change);
+3. new content of a rewritten partition = its current rows minus updated
+   keys, plus the updated and inserted rows for it; written to scratch
+   first (a table being read cannot be overwritten), then swapped in by
+   dynamic partition overwrite;
+4. a rewritten partition left empty is removed explicitly (dynamic
+   overwrite alone would keep its old files).
 
 The swap is per partition, not atomic across partitions. Re-running the
 same merge is idempotent: updates become "unchanged", nothing is inserted.
@@ -27,8 +29,10 @@ same merge is idempotent: updates become "unchanged", nothing is inserted.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bookflow.operators.joins import broadcast_if_small
@@ -37,6 +41,8 @@ from bookflow.operators.stage import STAGE_PARTITION, conform, retention_cutoff
 from bookflow.schema import MERGE_KEYS, RESERVATION_COLUMNS, RESERVATION_SCHEMA, STAGE_RETENTION_DAYS
 from bookflow.session import configure, scratch_path
 
+log = logging.getLogger(__name__)
+
 STAGE = "stage_reservations"
 PRODUCTION = "reservations"
 
@@ -86,11 +92,24 @@ def _insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
     df.select(cols).write.insertInto(table, overwrite=overwrite)
 
 
-def append_stage(spark: SparkSession, database: str, valid: DataFrame) -> None:
-    """L1 + U1: append a load (by name, fixed types), clustered within files."""
-    rows = conform(valid).withColumn(STAGE_PARTITION, F.to_date("ingestion_ts"))
+def append_stage(spark: SparkSession, database: str, valid: DataFrame) -> dict:
+    """L1 + U1 + A6: append a load (by name, fixed types), clustered within
+    files; the output row count is observed during the write itself."""
+    obs = Observation("stage_load")
+    rows = conform(valid).observe(obs, F.count(F.lit(1)).alias("output_rows"))
+    rows = rows.withColumn(STAGE_PARTITION, F.to_date("ingestion_ts"))
     rows = rows.sortWithinPartitions(STAGE_PARTITION, "store_id", "vendor", "run_id")
     _insert(rows, f"{database}.{STAGE}")
+    return {"output_rows": obs.get["output_rows"]}
+
+
+def load_files_to_stage(spark: SparkSession, database: str, path: str, read) -> dict:
+    """L1 + A6 for a file load: rows appended plus input files and bytes
+    (from a listing; file contents are read once, by the load itself)."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = listing.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    stats = append_stage(spark, database, read(spark, path))
+    return {"output_rows": stats["output_rows"], "input_files": files["n"], "input_file_bytes": files["b"]}
 
 
 def read_stage(spark: SparkSession, database: str) -> DataFrame:
@@ -119,10 +138,15 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     configure(spark)
     table = f"{database}.{PRODUCTION}"
     scratch = scratch_path(spark, "merge")
+    t0 = time.perf_counter()
+
+    def phase(name):
+        log.info("merge %s: %s done at %.2fs", table, name, time.perf_counter() - t0)
     target = read_production(spark, database)
 
     classify(source, target).write.mode("overwrite").parquet(f"{scratch}/classified")
     classified = spark.read.parquet(f"{scratch}/classified")
+    phase("classify")
     stats = classified.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("action") == INSERT).alias("ins"),
@@ -137,31 +161,50 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     if result["inserted_rows"] + result["updated_rows"] == 0:
         return result
 
-    touched_df = (
-        changes.select(F.col("reserve_date").alias("d"))
-        .unionByName(changes.filter(F.col("action") == UPDATE).select(F.col("_t_reserve_date").alias("d")))
+    # Copy-on-write only where an update lands or leaves: a partition that
+    # only receives inserts keeps its files and gets the new rows appended.
+    updates = changes.filter(F.col("action") == UPDATE)
+    rewrite_df = (
+        updates.select(F.col("reserve_date").alias("d"))
+        .unionByName(updates.select(F.col("_t_reserve_date").alias("d")))
         .distinct()
     )
-    touched = [r["d"] for r in touched_df.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        raise RuntimeError("merge touches too many partitions for a partition-wise rewrite")
-
-    updated_keys = broadcast_if_small(changes.filter(F.col("action") == UPDATE).select(MERGE_KEYS), 5_000_000)
-    kept = target.filter(F.col("reserve_date").isin(touched)).join(updated_keys, MERGE_KEYS, "left_anti")
-    new_parts = kept.unionByName(changes.select(RESERVATION_COLUMNS))
-    (
-        new_parts.hint("rebalance", "reserve_date")
-        .sortWithinPartitions("reserve_date", "store_id", "channel")
-        .write.mode("overwrite")
-        .partitionBy("reserve_date")
-        .parquet(f"{scratch}/rewrite")
+    rewrite = [r["d"] for r in rewrite_df.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+    if len(rewrite) > MAX_TOUCHED_PARTITIONS:
+        raise RuntimeError("merge updates too many partitions for a partition-wise rewrite")
+    phase(f"partitions to rewrite ({len(rewrite)})")
+
+    if rewrite:
+        updated_keys = broadcast_if_small(updates.select(MERGE_KEYS), 5_000_000)
+        kept = target.filter(F.col("reserve_date").isin(rewrite)).join(updated_keys, MERGE_KEYS, "left_anti")
+        incoming = changes.filter(F.col("reserve_date").isin(rewrite)).select(RESERVATION_COLUMNS)
+        (
+            kept.unionByName(incoming)
+            .hint("rebalance", "reserve_date")
+            .sortWithinPartitions("reserve_date", "store_id", "channel")
+            .write.mode("overwrite")
+            .partitionBy("reserve_date")
+            .parquet(f"{scratch}/rewrite")
+        )
+        phase("rewrite written")
+        rewritten = spark.read.schema(RESERVATION_SCHEMA).parquet(f"{scratch}/rewrite")
+        present = {r["reserve_date"] for r in rewritten.select("reserve_date").distinct().collect()}
+        _insert(rewritten, table, overwrite=True)
+        phase("rewritten partitions swapped")
+        for d in rewrite:
+            if d not in present:
+                _drop_partition_data(spark, table, "reserve_date", d)
+
+    appends = changes.filter(F.col("action") == INSERT)
+    if rewrite:
+        appends = appends.filter(~F.col("reserve_date").isin(rewrite))
+    _insert(
+        appends.select(RESERVATION_COLUMNS)
+        .hint("rebalance", "reserve_date")
+        .sortWithinPartitions("reserve_date", "store_id", "channel"),
+        table,
     )
-    rewritten = spark.read.schema(RESERVATION_SCHEMA).parquet(f"{scratch}/rewrite")
-    present = {r["reserve_date"] for r in rewritten.select("reserve_date").distinct().collect()}
-    _insert(rewritten, table, overwrite=True)
-    for d in touched:
-        if d not in present:
-            _drop_partition_data(spark, table, "reserve_date", d)
+    phase("inserts appended")
     spark.catalog.refreshTable(table)
     return result
 

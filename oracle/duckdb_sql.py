@@ -375,6 +375,11 @@ SELECT DISTINCT run_id, lower(regexp_replace(run_id, '[^a-zA-Z0-9_-]', '_', 'g')
 SELECT run_id, MIN(ingestion_ts) AS run_started,
        'rb_' || strftime(MIN(ingestion_ts) + INTERVAL 9 HOUR, '%Y%m%d_%H%M%S') AS derived_run_id
 FROM stage GROUP BY run_id"""
+    q["kpi_view"] = q["daily_kpi"]
+    q["run_totals"] = q["run_summary"].replace(
+        "SELECT s.store_id, s.store_name,",
+        "SELECT status, COUNT(*) AS stores, CAST(SUM(records) AS BIGINT) AS total_records FROM (\n"
+        "SELECT s.store_id, s.store_name,", 1) + "\n) GROUP BY status"
     q["csv_scan"] = q["map_columns"]
     q["landing_roundtrip"] = q["valid_rows"]
     q["stream_stage"] = q["stage_union"]

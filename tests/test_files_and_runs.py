@@ -62,7 +62,7 @@ def test_daily_run_end_to_end(spark, tmp_root):
     assert len(summary) == 18 and all(r["status"] in ("success", "skipped") for r in summary.values())
     loaded = sum(r["records"] for r in summary.values())
     assert res.merge["inserted_rows"] + res.merge["updated_rows"] + res.merge["unchanged_rows"] <= loaded
-    assert spark.table("bf_test_daily.stage_reservations").count() == loaded
+    assert spark.table("bf_test_daily.stage_reservations").count() == loaded == res.load["output_rows"]
     inv = L.inventory(spark, f"{tmp_root}/landing", max_results=None)
     assert inv.select("store_id").distinct().count() == sum(1 for r in summary.values() if r["status"] == "success")
     assert inv.agg(F.sum("record_count")).first()[0] >= loaded
@@ -74,3 +74,20 @@ def test_daily_run_end_to_end(spark, tmp_root):
     assert res2.merge["inserted_rows"] == 0 and res2.merge["updated_rows"] == 0
     exp = L.expired_files(inv, "2100-01-01 00:00:00")
     assert exp.count() == inv.count()
+
+
+def test_manual_backfill_from_landing(spark, tmp_root):
+    from bookflow.operators.normalize import valid_rows
+    from bookflow.plans import scenario as S
+    from bookflow.plans.daily_run import manual_backfill
+
+    rows = valid_rows(S.normalized_run_a(spark, SF_SMALL))
+    L.write_landing(rows, f"{tmp_root}/landing", upload_type="manual")
+    out = manual_backfill(spark, f"{tmp_root}/landing/{L.DATA}", "bf_test_manual", f"{tmp_root}/tables",
+                          "manual_19980801_120000")
+    n = rows.count()
+    assert out["load"]["output_rows"] == n and out["load"]["input_files"] > 0 and out["load"]["input_file_bytes"] > 0
+    dedup_n = rows.select("record_key").distinct().count()
+    assert out["merge"] == {"inserted_rows": dedup_n, "updated_rows": 0, "unchanged_rows": 0}
+    man = spark.read.parquet(f"{tmp_root}/landing/{L.MANIFEST}")
+    assert man.filter("upload_type = 'manual'").count() == man.count() > 0
