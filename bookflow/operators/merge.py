@@ -27,9 +27,25 @@ def target_keys(target: DataFrame) -> DataFrame:
     )
 
 
-def classify(source: DataFrame, target: DataFrame) -> DataFrame:
-    """M1: every source row with its action and the matched row's old date."""
-    j = source.join(target_keys(target), MERGE_KEYS, "left")
+# A run's keys up to this many rows (~100 bytes each) are broadcast.
+SOURCE_BROADCAST_ROWS = 2_000_000
+
+
+def classify(source: DataFrame, target: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS) -> DataFrame:
+    """M1: every source row with its action and the matched row's old date.
+
+    The production side is the big one. When the run provably has at most
+    ``broadcast_rows`` rows, its keys are broadcast and the production key
+    scan is probed map-side (no shuffle of production); only the matches,
+    at most one per source row, meet the source in a small join. Beyond the
+    bound both sides are shuffled on the keys.
+    """
+    tk = target_keys(target)
+    n = source.limit(broadcast_rows + 1).count()
+    if n <= broadcast_rows:
+        probe = F.broadcast(source.select(*MERGE_KEYS))
+        tk = tk.join(probe, MERGE_KEYS, "left_semi")
+    j = source.join(tk, MERGE_KEYS, "left")
     action = (
         F.when(F.col("_t_matched").isNull(), F.lit(INSERT))
         .when(F.col("_t_hash") != F.col("record_hash"), F.lit(UPDATE))

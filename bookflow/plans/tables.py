@@ -39,7 +39,7 @@ from bookflow.operators.joins import broadcast_if_small
 from bookflow.operators.merge import INSERT, UNCHANGED, UPDATE, classify
 from bookflow.operators.stage import STAGE_PARTITION, conform, retention_cutoff
 from bookflow.schema import MERGE_KEYS, RESERVATION_COLUMNS, RESERVATION_SCHEMA, STAGE_RETENTION_DAYS
-from bookflow.session import configure, scratch_path
+from bookflow.session import configure, materialize, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -143,6 +143,7 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     def phase(name):
         log.info("merge %s: %s done at %.2fs", table, name, time.perf_counter() - t0)
     target = read_production(spark, database)
+    source = materialize(source, "merge-source")  # read by the size check and the join
 
     classify(source, target).write.mode("overwrite").parquet(f"{scratch}/classified")
     classified = spark.read.parquet(f"{scratch}/classified")
