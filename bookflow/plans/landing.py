@@ -32,8 +32,11 @@ def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled") -
         F.col("run_id").alias("run"),
         F.col("store_id").alias("store"),
     )
+    # rebalance: about one file per (run, store) folder; AQE splits a store
+    # that holds a large share of the rows instead of giving it to one task.
     (
-        rows.write.mode("append")
+        rows.hint("rebalance", "run", "store")
+        .write.mode("append")
         .partitionBy(*PARTS)
         .option("header", True)
         .option("quoteAll", True)

@@ -88,7 +88,8 @@ def scan_exports(
 def write_exports(df: DataFrame, path: str, encoding: str = CSV_ENCODING, partition_by: str = "store_id") -> None:
     """Write lines as export files (header, given encoding), one folder per store."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition_by)
+        .write.mode("overwrite")
         .partitionBy(partition_by)
         .option("header", True)
         .option("encoding", encoding)
