@@ -113,3 +113,13 @@ def materialize(df, purpose: str, partition_by: str | None = None):
         w = w.partitionBy(partition_by)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def spread_if_narrow(df):
+    """Round-robin ``df`` over the cluster when its source gives fewer splits
+    than there are cores (e.g. one small single-row-group file); wide inputs,
+    the normal case at scale, are left alone and never shuffled."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

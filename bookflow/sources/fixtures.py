@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookflow.schema import profile as get_profile
+from bookflow.session import spread_if_narrow
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,7 @@ def reservations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(11) + k % 15).cast("string").alias("h"),
         F.lpad(((k % 4) * 15).cast("string"), 2, "0").alias("m"),
     )
+    base = spread_if_narrow(base)
     k, d, b, h, m = (F.col(c) for c in ("k", "d", "b", "h", "m"))
     yyyy, mm, dd = F.substring(d, 1, 4), F.substring(d, 6, 2), F.substring(d, 9, 2)
     return base.select(
