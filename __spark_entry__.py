@@ -20,7 +20,7 @@ from bookflow.operators import merge as M  # noqa: E402
 from bookflow.operators import reports as R  # noqa: E402
 from bookflow.operators import runs as RU  # noqa: E402
 from bookflow.operators.normalize import rejected_rows, typed_reservations, valid_rows  # noqa: E402
-from bookflow.operators.stage import stage_dedup, stage_retention  # noqa: E402
+from bookflow.operators.stage import stage_retention  # noqa: E402
 from bookflow.operators.stores import store_missing_fields, store_windows, windowed_reservations  # noqa: E402
 from bookflow.plans import scenario as S  # noqa: E402
 from bookflow.schema import RESERVATION_COLUMNS  # noqa: E402

@@ -27,7 +27,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from bookflow.operators import merge as M  # noqa: E402
 from bookflow.operators import reports as R  # noqa: E402
 from bookflow.operators.mapping import map_columns  # noqa: E402
 from bookflow.operators.stage import stage_dedup  # noqa: E402

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bookflow.functions.parse import _c
-from bookflow.schema import LABEL_INVALID_PATTERN, LANDING_PREFIX, RUN_ID_PREFIX, SOURCE_TIMEZONE
+from bookflow.schema import LABEL_INVALID_PATTERN, LANDING_PREFIX, MANUAL_PREFIX, RUN_ID_PREFIX, SOURCE_TIMEZONE
 
 
 def local_ts(ts) -> Column:
@@ -40,7 +40,8 @@ def landing_object_path(store_id, run_id, upload_ts, prefix: str = LANDING_PREFI
     )
 
 
-def manual_object_path(filename, upload_ts, prefix: str = "manual/restaurant_board") -> Column:
+def manual_object_path(filename, upload_ts, prefix: str = MANUAL_PREFIX) -> Column:
+    """``<manual prefix>/YYYY/MM/DD/<filename>`` (source time zone)."""
     t = local_ts(upload_ts)
     return F.concat(F.lit(prefix + "/"), F.date_format(t, "yyyy/MM/dd"), F.lit("/"), _c(filename))
 

@@ -60,10 +60,6 @@ def parse_date(c, formats: Iterable[str]) -> Column:
     return F.when(~is_blank(c), F.coalesce(*attempts))
 
 
-def time_is_parsable(c) -> Column:
-    return _c(c).rlike(TIME_PATTERN)
-
-
 def parse_time(c) -> Column:
     """Leading ``H:mm`` / ``HH:mm`` with optional ``:ss`` -> ``HH:mm:ss``.
 

@@ -18,9 +18,6 @@ from bookflow.operators.joins import broadcast_if_small
 from bookflow.schema import RESERVATION_COLUMNS, VENDOR
 from bookflow.schema import profile as get_profile
 
-TYPED_COLUMNS = ["reserve_date", "booking_date", "start_time", "end_time", "headcount"]
-
-
 def typed_reservations(mapped: DataFrame, profile="executed") -> DataFrame:
     """add typed columns next to the raw ones (raw kept for the hash)."""
     p = get_profile(profile)

@@ -40,8 +40,6 @@ REQUIRED_COLUMNS = [f.name for f in RESERVATION_SCHEMA.fields if not f.nullable]
 
 # MERGE matches on these and never rewrites them.
 MERGE_KEYS = ["record_key", "vendor", "store_id"]
-# MERGE copies these from source on update (everything but the match keys).
-MERGE_UPDATE_COLUMNS = [c for c in RESERVATION_COLUMNS if c not in MERGE_KEYS]
 
 # Store master: every column is a string, '' for a missing cell.
 STORE_COLUMNS = [

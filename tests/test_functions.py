@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from bookflow.functions.identity import json_string, record_hash, record_key
-from bookflow.functions.naming import label_value, landing_object_path, run_id_for
+from bookflow.functions.naming import label_value, landing_object_path, manual_object_path, run_id_for
 from bookflow.functions.parse import map_with_fallback, parse_date, parse_int, parse_time
 from bookflow.schema import CHANNEL_MAP_EXECUTED, DATE_FORMATS_EXECUTED, DATE_FORMATS_EXTENDED
 
@@ -104,7 +104,9 @@ def test_run_id_label_and_path(spark):
     df = spark.createDataFrame([("s1", "rb_19980801_011500")], "store_id string, run_id string").withColumn(
         "ts", F.lit("1998-08-01T01:15:00+09:00").cast("timestamp"))
     r = df.select(run_id_for("ts").alias("a"), label_value(F.lit("RB.x 1")).alias("b"),
-                  landing_object_path("store_id", "run_id", "ts").alias("c")).first()
+                  landing_object_path("store_id", "run_id", "ts").alias("c"),
+                  manual_object_path(F.lit("x.csv"), "ts").alias("d")).first()
     assert r["a"] == "rb_19980801_011500"
     assert r["b"] == "rb_x_1"
     assert r["c"] == "landing/restaurant_board/1998/08/01/run_rb_19980801_011500/rb_s1_19980801.csv"
+    assert r["d"] == "manual/restaurant_board/1998/08/01/x.csv"
