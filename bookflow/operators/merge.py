@@ -2,9 +2,9 @@
 
 Match on (record_key, vendor, store_id). A match with a different content
 hash is an update (all non-key columns from source), no match is an insert,
-everything else stays. ``merged_table`` is the full result as one lazy plan
-(one full outer join, one shuffle per side); the partition-wise writer in
-``bookflow.plans.tables`` rewrites only the partitions it touches.
+everything else stays. ``merged_table`` is the full result as one lazy plan;
+the partition-wise writer in ``bookflow.plans.tables`` rewrites only the
+partitions it touches.
 """
 
 from __future__ import annotations
@@ -71,16 +71,19 @@ def merge_stats(actions: DataFrame) -> DataFrame:
     )
 
 
-def merged_table(target: DataFrame, source: DataFrame) -> DataFrame:
-    """M2: production after the MERGE, as one full outer join on the keys."""
-    s = source.select(*RESERVATION_COLUMNS, F.lit(True).alias("_s"))
-    t = target.select(*RESERVATION_COLUMNS, F.lit(True).alias("_t"))
-    s_al, t_al = s.alias("s"), t.alias("t")
-    cond = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in MERGE_KEYS]
-    j = s_al.join(t_al, cond, "full_outer")
-    take_source = F.col("t._t").isNull() | (
-        F.col("s._s").isNotNull() & (F.col("s.record_hash") != F.col("t.record_hash"))
-    )
-    return j.select(
-        [F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in RESERVATION_COLUMNS]
-    )
+def merged_table(target: DataFrame, source: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS) -> DataFrame:
+    """M2: production after the MERGE = production rows whose key was not
+    updated + inserted and updated source rows.
+
+    With a run of at most ``broadcast_rows`` rows both passes over
+    production are map-side (broadcast probe, broadcast anti join); the
+    production table is never shuffled. Beyond the bound Spark shuffles on
+    the keys.
+    """
+    acts = classify(source, target, broadcast_rows)
+    changed = acts.filter(F.col("action") != UNCHANGED).select(RESERVATION_COLUMNS)
+    updated = acts.filter(F.col("action") == UPDATE).select(MERGE_KEYS)
+    if source.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        updated = F.broadcast(updated)
+    kept = target.select(RESERVATION_COLUMNS).join(updated, MERGE_KEYS, "left_anti")
+    return kept.unionByName(changed)
