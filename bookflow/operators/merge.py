@@ -85,5 +85,5 @@ def merged_table(target: DataFrame, source: DataFrame, broadcast_rows: int = SOU
     updated = acts.filter(F.col("action") == UPDATE).select(MERGE_KEYS)
     if source.limit(broadcast_rows + 1).count() <= broadcast_rows:
         updated = F.broadcast(updated)
-    kept = target.select(RESERVATION_COLUMNS).join(updated, MERGE_KEYS, "left_anti")
+    kept = target.join(updated, MERGE_KEYS, "left_anti").select(RESERVATION_COLUMNS)
     return kept.unionByName(changed)
