@@ -91,3 +91,21 @@ def test_manual_backfill_from_landing(spark, tmp_root):
     assert out["merge"] == {"inserted_rows": dedup_n, "updated_rows": 0, "unchanged_rows": 0}
     man = spark.read.parquet(f"{tmp_root}/landing/{L.MANIFEST}")
     assert man.filter("upload_type = 'manual'").count() == man.count() > 0
+
+
+def test_run_summary_failed_and_strict(spark):
+    from bookflow.operators.runs import run_summary, run_totals
+
+    active = spark.createDataFrame([("s1", "A"), ("s2", "B"), ("s3", "C"), ("s4", "D")], "store_id string, store_name string")
+    norm = spark.createDataFrame(
+        [("s1", ""), ("s1", ""), ("s2", "missing_reserve_date"), ("s3", ""), ("s3", "bad_start_time")],
+        "store_id string, reject_reason string")
+    bad_files = spark.createDataFrame([("s4", "f.csv", "ragged CSV line(s): 1")],
+                                      "store_id string, _file_path string, error string")
+    lenient = {r["store_id"]: (r["status"], r["records"]) for r in run_summary(active, norm, bad_files).collect()}
+    assert lenient == {"s1": ("success", 2), "s2": ("skipped", 0), "s3": ("success", 1), "s4": ("failed", 0)}
+    strict = {r["store_id"]: r for r in run_summary(active, norm, bad_files, strict=True).collect()}
+    assert strict["s3"]["status"] == "failed" and strict["s3"]["error"] == "1 rows failed validation"
+    assert strict["s2"]["status"] == "failed" and strict["s1"]["status"] == "success"
+    totals = {r["status"]: (r["stores"], r["total_records"]) for r in run_totals(run_summary(active, norm, bad_files)).collect()}
+    assert totals == {"success": (2, 3), "skipped": (1, 0), "failed": (1, 0)}
