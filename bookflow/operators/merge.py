@@ -31,7 +31,13 @@ def target_keys(target: DataFrame) -> DataFrame:
 SOURCE_BROADCAST_ROWS = 2_000_000
 
 
-def classify(source: DataFrame, target: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS) -> DataFrame:
+def source_is_small(source: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS) -> bool:
+    """Proven row bound: stops reading once ``broadcast_rows`` is exceeded."""
+    return source.limit(broadcast_rows + 1).count() <= broadcast_rows
+
+
+def classify(source: DataFrame, target: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS,
+             small: bool | None = None) -> DataFrame:
     """M1: every source row with its action and the matched row's old date.
 
     The production side is the big one. When the run provably has at most
@@ -41,8 +47,9 @@ def classify(source: DataFrame, target: DataFrame, broadcast_rows: int = SOURCE_
     bound both sides are shuffled on the keys.
     """
     tk = target_keys(target)
-    n = source.limit(broadcast_rows + 1).count()
-    if n <= broadcast_rows:
+    if small is None:
+        small = source_is_small(source, broadcast_rows)
+    if small:
         probe = F.broadcast(source.select(*MERGE_KEYS))
         tk = tk.join(probe, MERGE_KEYS, "left_semi")
     j = source.join(tk, MERGE_KEYS, "left")
@@ -80,10 +87,11 @@ def merged_table(target: DataFrame, source: DataFrame, broadcast_rows: int = SOU
     production table is never shuffled. Beyond the bound Spark shuffles on
     the keys.
     """
-    acts = classify(source, target, broadcast_rows)
+    small = source_is_small(source, broadcast_rows)
+    acts = classify(source, target, broadcast_rows, small)
     changed = acts.filter(F.col("action") != UNCHANGED).select(RESERVATION_COLUMNS)
     updated = acts.filter(F.col("action") == UPDATE).select(MERGE_KEYS)
-    if source.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if small:
         updated = F.broadcast(updated)
     kept = target.join(updated, MERGE_KEYS, "left_anti").select(RESERVATION_COLUMNS)
     return kept.unionByName(changed)
