@@ -332,7 +332,40 @@ def q_run_totals(spark, d):
     return RU.run_totals(RU.run_summary(S.active(spark, d), _run_a(spark, d)))
 
 
+def _daily_run(spark, d):
+    """E1 end to end: every store's Shift_JIS export -> one daily run into
+    fresh catalog tables under the checkpoint folder."""
+    import uuid
+
+    from bookflow.plans.daily_run import daily_run
+    from bookflow.session import scratch_path
+    from bookflow.sources.csv_files import write_exports
+
+    configure(spark)
+    exports = scratch_path(spark, "exports")
+    write_exports(fixtures.reservations_export(spark, d), exports)
+    root = scratch_path(spark, "daily")
+    db = "bookflow_" + uuid.uuid4().hex[:12]
+    res = daily_run(spark, S.store_master(spark, d), exports, db, f"{root}/tables", f"{root}/landing",
+                    run_ts=fixtures.RUN_A["ingestion_ts"])
+    return db, res
+
+
+def q_daily_run_production(spark, d):
+    db, _res = _daily_run(spark, d)
+    from bookflow.plans.tables import read_production
+
+    return read_production(spark, db)
+
+
+def q_daily_run_summary(spark, d):
+    _db, res = _daily_run(spark, d)
+    return res.summary
+
+
 _QUERIES.update({
+    "daily_run_production": q_daily_run_production,
+    "daily_run_summary": q_daily_run_summary,
     "kpi_view": q_kpi_view,
     "run_totals": q_run_totals,
     "csv_scan": q_csv_scan,

@@ -35,6 +35,11 @@ SCALE_CONFS = {
     # per-operator code for that subtree only (normalisation is one wide
     # projection chain; aggregations and joins stay fused).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A small run written into many date partitions costs per file, not per
+    # byte: keep such tiny shuffles (rebalance before a partitioned write)
+    # spread over several tasks instead of coalescing them into one. With
+    # large shuffles AQE's computed target size is far above this floor.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(128 * 1024),
 }
 
 

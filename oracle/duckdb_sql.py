@@ -375,6 +375,18 @@ SELECT DISTINCT run_id, lower(regexp_replace(run_id, '[^a-zA-Z0-9_-]', '_', 'g')
 SELECT run_id, MIN(ingestion_ts) AS run_started,
        'rb_' || strftime(MIN(ingestion_ts) + INTERVAL 9 HOUR, '%Y%m%d_%H%M%S') AS derived_run_id
 FROM stage GROUP BY run_id"""
+    all_lines = with_(*base_ctes(), typed_cte("typed_all", "res_raw"),
+                      normalized_cte("norm_all", "typed_all", RUN_A[0], RUN_A[1]))
+    q["daily_run_production"] = all_lines + f"""
+SELECT {COLS15} FROM norm_all WHERE reject_reason = ''
+QUALIFY row_number() OVER (PARTITION BY record_key ORDER BY ingestion_ts DESC, record_hash, store_id) = 1"""
+    q["daily_run_summary"] = all_lines + """
+, cnt AS (SELECT store_id, COUNT(*) AS p, COUNT(*) FILTER (WHERE reject_reason = '') AS v FROM norm_all GROUP BY store_id)
+SELECT s.store_id, s.store_name,
+       CASE WHEN COALESCE(c.p, 0) = 0 OR COALESCE(c.v, 0) = 0 THEN 'skipped' ELSE 'success' END AS status,
+       CAST(CASE WHEN COALESCE(c.p, 0) = 0 OR COALESCE(c.v, 0) = 0 THEN 0 ELSE c.v END AS BIGINT) AS records,
+       NULL::VARCHAR AS error
+FROM active_stores s LEFT JOIN cnt c ON s.store_id = c.store_id"""
     q["kpi_view"] = q["daily_kpi"]
     q["run_totals"] = q["run_summary"].replace(
         "SELECT s.store_id, s.store_name,",
