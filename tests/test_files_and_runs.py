@@ -109,3 +109,17 @@ def test_run_summary_failed_and_strict(spark):
     assert strict["s2"]["status"] == "failed" and strict["s1"]["status"] == "success"
     totals = {r["status"]: (r["stores"], r["total_records"]) for r in run_totals(run_summary(active, norm, bad_files)).collect()}
     assert totals == {"success": (2, 3), "skipped": (1, 0), "failed": (1, 0)}
+
+
+def test_daily_run_dry_run_writes_nothing(spark, tmp_root):
+    exports = f"{tmp_root}/exports"
+    write_exports(fixtures.reservations_export(spark, SF_SMALL), exports)
+    stores = normalize_store_master(fixtures.stores_raw(spark, SF_SMALL))
+    res = daily_run(spark, stores, exports, "bf_test_dry", f"{tmp_root}/tables", f"{tmp_root}/landing",
+                    run_ts="1998-08-01T01:15:00+09:00", as_of="1998-08-02", dry_run=True)
+    assert res.merge is None and res.load is None
+    assert not os.path.exists(f"{tmp_root}/tables") and not os.path.exists(f"{tmp_root}/landing")
+    assert not spark.catalog.databaseExists("bf_test_dry")
+    # with as_of, only rows inside each store's window remain
+    assert res.valid.count() == res.summary.agg(F.sum("records")).first()[0] > 0
+    assert res.summary.count() == 18
