@@ -69,7 +69,9 @@ def create_tables(spark: SparkSession, database: str, root: str) -> None:
     """
     configure(spark)
     root = root.rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # An explicit location keeps the database folder next to its tables,
+    # never in the process's working directory.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_database'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{STAGE} ({_ddl_columns('')}, {STAGE_PARTITION} DATE) "
         f"USING parquet PARTITIONED BY ({STAGE_PARTITION}) LOCATION '{root}/{STAGE}'"
