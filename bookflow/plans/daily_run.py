@@ -2,7 +2,8 @@
 
 E1: store master -> active stores -> scan all stores' exports in one pass
 -> map -> normalise -> validate (written once) -> landing files + manifest
--> stage append -> quarantine -> MERGE of the run -> run summary.
+-> stage append -> quarantine -> MERGE of the run -> KPI partitions the
+merge touched -> run summary.
 Per-store isolation is data: rejected files, rejected rows and the status
 of every store (success / failed / skipped) in ``summary``.
 """
@@ -85,6 +86,9 @@ def daily_run(
     if ok_stores.limit(1).count() > 0:
         source = stage_dedup(TB.read_stage(spark, database), run_id)
         result.merge = TB.apply_merge(spark, database, source)
+        # KPI table: only the reserve_date partitions this merge changed.
+        TB.create_kpi_table(spark, database, tables_root)
+        TB.refresh_kpi(spark, database)
     return result
 
 

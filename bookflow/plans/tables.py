@@ -45,6 +45,7 @@ log = logging.getLogger(__name__)
 
 STAGE = "stage_reservations"
 PRODUCTION = "reservations"
+KPI = "daily_kpi"
 
 # Touched partitions are calendar dates: bounded by the calendar, not by
 # the data volume. Beyond this many the merge refuses rather than building
@@ -162,6 +163,7 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     }
     changes = classified.filter(F.col("action") != UNCHANGED)
     if result["inserted_rows"] + result["updated_rows"] == 0:
+        LAST_TOUCHED[table] = []
         return result
 
     # Copy-on-write only where an update lands or leaves: a partition that
@@ -209,9 +211,58 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     )
     phase("inserts appended")
     spark.catalog.refreshTable(table)
+    inserted_dates = appends.select("reserve_date").distinct()
+    LAST_TOUCHED[table] = sorted(set(rewrite) | {r["reserve_date"] for r in inserted_dates.limit(
+        MAX_TOUCHED_PARTITIONS + 1).collect()})
     return result
 
 
+# Partition values the last merge into a table changed (bounded by the calendar).
+LAST_TOUCHED: dict[str, list] = {}
+
+
+def create_kpi_table(spark: SparkSession, database: str, root: str) -> None:
+    """The KPI view (L9) kept as a table partitioned by reserve_date."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {database}.{KPI} (store_id STRING, store_name STRING, channel STRING, "
+        "status STRING, reservation_count BIGINT, total_headcount BIGINT, avg_party_size DOUBLE, "
+        "confirmed_count BIGINT, cancelled_count BIGINT, completed_count BIGINT, reserve_date DATE) "
+        f"USING parquet PARTITIONED BY (reserve_date) LOCATION '{root.rstrip('/')}/{KPI}'"
+    )
+    try:
+        spark.sql(f"ALTER TABLE {database}.{KPI} RECOVER PARTITIONS")
+    except Exception as e:
+        if "does not exist" not in str(e):
+            raise
+
+
+def refresh_kpi(spark: SparkSession, database: str, dates=None) -> int:
+    """Recompute the KPI rows of ``dates`` (default: the partitions the last
+    merge changed; ``"all"`` for a full rebuild) from production and swap
+    those partitions in. Every KPI group lies inside one reserve_date, so
+    other partitions are unaffected; the daily cost follows the change, not
+    the table. Returns the number of partitions refreshed."""
+    from bookflow.operators.reports import daily_kpi
+
+    table = f"{database}.{KPI}"
+    prod = read_production(spark, database)
+    if dates is None:
+        dates = LAST_TOUCHED.get(f"{database}.{PRODUCTION}", [])
+    if dates != "all":
+        if not dates:
+            return 0
+        prod = prod.filter(F.col("reserve_date").isin(list(dates)))
+    kpi = daily_kpi(prod).hint("rebalance", "reserve_date")
+    present = {r["reserve_date"] for r in kpi.select("reserve_date").distinct().collect()}
+    _insert(kpi, table, overwrite=True)
+    if dates != "all":
+        for d in dates:
+            if d not in present:
+                _drop_partition_data(spark, table, "reserve_date", d)
+    spark.catalog.refreshTable(table)
+    return len(present) if dates == "all" else len(dates)
+
+
 def expire_stage(spark: SparkSession, database: str, as_of, days: int = STAGE_RETENTION_DAYS) -> list:
     """Delete stage partitions with ``DATE(ingestion_ts) < as_of - days``
     (strict). Works on the partition listing only; no data is scanned."""
