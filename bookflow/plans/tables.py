@@ -145,6 +145,7 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
 
     def phase(name):
         log.info("merge %s: %s done at %.2fs", table, name, time.perf_counter() - t0)
+
     target = read_production(spark, database)
     source = materialize(source, "merge-source")  # read by the size check and the join
 
