@@ -63,6 +63,9 @@ def test_daily_run_end_to_end(spark, tmp_root):
     loaded = sum(r["records"] for r in summary.values())
     assert res.merge["inserted_rows"] + res.merge["updated_rows"] + res.merge["unchanged_rows"] <= loaded
     assert spark.table("bf_test_daily.stage_reservations").count() == loaded == res.load["output_rows"]
+    quarantine = spark.read.parquet(f"{tmp_root}/tables/quarantine")
+    assert quarantine.count() == res.rejected.count() > 0
+    assert quarantine.filter(F.col("reject_reason") == "").count() == 0
     inv = L.inventory(spark, f"{tmp_root}/landing", max_results=None)
     assert inv.select("store_id").distinct().count() == sum(1 for r in summary.values() if r["status"] == "success")
     assert inv.agg(F.sum("record_count")).first()[0] >= loaded
