@@ -190,33 +190,45 @@ def _joined(batches):
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
-def _removed():
+def _merged(found) -> list[list[int]]:
+    out: list[list[int]] = []
+    for a, b in sorted((s["start"], s["end"]) for s in found or ()):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
+def _cut(raw: bytes, spans) -> bytes:
+    out, last = [], 0
+    for a, b in spans:
+        out.append(raw[last:a])
+        last = b
+    return b"".join([*out, raw[last:]])
+
+
+def _removed(batches):
     """Rows with their spans merged and the bytes that stay."""
-    def rows(batches):
-        for batch in batches:
-            found = batch.column(batch.schema.get_field_index("found"))
-            texts = batch.column(batch.schema.get_field_index("text"))
-            spans, kept, sizes, gone = [], [], [], []
-            for i in range(batch.num_rows):
-                raw = texts[i].as_buffer().to_pybytes() if texts[i].is_valid else b""
-                merged = []
-                for s in sorted((s["start"], s["end"]) for s in found[i].as_py() or ()):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
-                    else:
-                        merged.append([*s])
-                out, last = [], 0
-                for a, b in merged:
-                    out.append(raw[last:a])
-                    last = b
-                spans.append([{"start": a, "end": b} for a, b in merged])
-                kept.append(b"".join([*out, raw[last:]]))
-                sizes.append(len(raw))
-                gone.append(sum(b - a for a, b in merged))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
-                                              pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                                              pa.array(kept, pa.binary())], names=["row", *OUTPUT])
-    return rows
+    for batch in batches:
+        spans, kept, sizes, gone = [], [], [], []
+        for text, found in zip(batch.column(1), batch.column(2).to_pylist()):
+            raw, merged = text.as_buffer().to_pybytes() if text.is_valid else b"", _merged(found)
+            spans.append([{"start": a, "end": b} for a, b in merged])
+            kept.append(_cut(raw, merged))
+            sizes.append(len(raw))
+            gone.append(sum(b - a for a, b in merged))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
+                                          pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                                          pa.array(kept, pa.binary())], names=["row", *OUTPUT])
+
+
+def _texts(batches):
+    """Rows with the text that stays; a character that a span cuts through goes as a whole."""
+    for batch in batches:
+        out = [text.as_py() if not found else _cut(text.as_buffer().to_pybytes(), _merged(found)).decode("utf-8", "ignore")
+               for text, found in zip(batch.column(1), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -236,15 +248,26 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     return whole.union(contents.mapInArrow(_ordered(length), _SPAN))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """``docs`` (doc_id, text, any others) with n_bytes, n_removed, spans (start, end in UTF-8 bytes) and kept (binary)."""
-    own = [c for c in docs.columns if c.lower() not in OUTPUT]
+def _with_spans(docs: DataFrame, own: list[str], length: int, anchor: int) -> DataFrame:
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"),
                         F.hash("text").alias("mark"), F.col("text"))
     spans = (repeated_spans(keyed, length, anchor).distinct().groupBy("doc", "mark")
              .agg(F.collect_list(F.struct("start", "end")).alias("found")))
-    joined = keyed.join(spans, ["doc", "mark"], "left").select("row", "text", "found")
+    return keyed.join(spans, ["doc", "mark"], "left").select("row", "text", "found")
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """``docs`` (doc_id, text, any others) with n_bytes, n_removed, spans (start, end in UTF-8 bytes) and kept (binary)."""
+    joined = _with_spans(docs, [c for c in docs.columns if c.lower() not in OUTPUT], length, anchor)
     kind = joined.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(_removed(), f"row {kind}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
+    out = joined.mapInArrow(_removed, f"row {kind}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
     return out.select("row.*", *OUTPUT)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """``docs`` with what is left of text; all other columns as they are."""
+    joined = _with_spans(docs, [c for c in docs.columns if c != "text"], length, anchor)
+    kind = joined.schema["row"].dataType.simpleString()
+    out = joined.mapInArrow(_texts, f"row {kind}, text string")
+    return out.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))
