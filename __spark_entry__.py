@@ -7,6 +7,7 @@ full; the only LIMITs are the report's 10,000-row cap, which is the feature.
 from __future__ import annotations
 
 import datetime
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -254,15 +255,34 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _has_llm() -> bool:
+    """Whether the optional subpackage is there; its own import errors aren't hidden."""
+    try:
+        return importlib.util.find_spec("bookflow.llm.queries") is not None and importlib.util.find_spec("corpus_pipeline") is not None
+    except ModuleNotFoundError:
+        return False
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES)
+    if _has_llm():
+        import corpus_pipeline
+        from bookflow.llm.queries import QUERIES
+
+        out |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.duckdb_sql import queries as oracle_queries
 
     q = oracle_queries()
-    return {k: q[k] for k in _QUERIES if k in q}
+    out = {k: q[k] for k in _QUERIES if k in q}
+    if _has_llm():
+        from bookflow.llm.queries import ORACLES
+
+        out |= ORACLES
+    return out
 
 
 # --- file-based operators (written under spark.checkpoint.dir) ---------------
