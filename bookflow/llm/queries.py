@@ -86,8 +86,8 @@ _FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 ORACLES = {
     "op1_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] e FROM embeddings),
-        u AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(e, x -> x <> 0)) > 0),
+        u AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0),
         link AS (SELECT a.vec_id a, b.vec_id b FROM u a, u b WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
                  AND list_cosine_similarity(a.e, b.e) >= 0.9),
         reach AS (SELECT vec_id a, vec_id b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
