@@ -233,7 +233,7 @@ def _texts(batches):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """(doc, mark, start, end) of repeated bytes in ``docs`` (doc, mark, text); spans may touch or overlap."""
-    stretch = docs.select("doc", "mark", "text").mapInArrow(_stretch_rows(length, anchor), _STRETCH)
+    stretch = docs.select("doc", "mark", "text").mapInArrow(_stretch_rows(length, anchor), _STRETCH).repartition("h")
     same = W.partitionBy("h", "c")
     seen = (stretch.withColumn("at_c", F.sum(F.size("docs")).over(same))
             .withColumn("first", F.row_number().over(same.orderBy("c")) == 1)
