@@ -6,8 +6,9 @@ to ``CHAIN`` consecutive words of a text; transitions between languages are lear
 chains put together of pieces in different languages. Forward-backward gives every word's probabilities; all words of
 a text count, and the text's language is the one with the most.
 
-The model is fitted in numpy on at most ``SAMPLE`` labelled documents (by hash, spread over the languages) and at most
-``CHARS`` characters of each, from its middle; prediction reads whole texts. The languages are those in the sample.
+The model is fitted in numpy on at most ``SAMPLE`` labelled documents (by hash, spread over the languages, ``EACH`` of
+one at most) and at most ``CHARS`` characters of each, from its middle; prediction reads whole texts. The languages are
+those in the sample.
 
 Null text and text without a letter is ``und`` with score 0; without any labelled document everything is ``und``;
 repeated rows are predicted each; an empty table gives an empty result.
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from bookflow.llm.common import text_slices, utf8
 from bookflow.llm.words import Words
 
-SAMPLE = 2000
-CHARS = 8192
+SAMPLE = 1600
+EACH = 800
+CHARS = 4096
 CHAIN = 64
 BUCKETS = 1 << 17
 LEXICON = 500
@@ -219,9 +221,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, chars: int = CHARS) -> Model:
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     text = F.expr(f"substring(text, greatest(1, int((length(text) - {chars}) / 2)), {chars})")
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # of each language at most the sample, then rank by rank until the sample is full: a rare language is in it first
-    rows = (known.select("lang", "doc_id", text.alias("text")).withColumn("n", rank).filter(F.col("n") <= sample)
-            .orderBy("n", "lang").limit(sample).select("lang", "text").collect())
+    # ids alone are ranked, so no text is dealt out; rank by rank until the sample is full: a rare language is in it first
+    ids = known.select("lang", "doc_id").withColumn("n", rank).filter(F.col("n") <= EACH).orderBy("n", "lang").limit(sample)
+    rows = (known.select("lang", "doc_id", text.alias("text")).join(F.broadcast(ids.distinct()), ["lang", "doc_id"])
+            .orderBy("n", "lang", "text").limit(sample).select("lang", "text").collect())
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 
