@@ -15,7 +15,7 @@ import pyarrow as pa
 from bookflow.llm.common import Rolling
 
 #: Pieces that a worker keeps at most; beyond it the cache starts anew.
-CACHE = 1 << 20
+CACHE = 1 << 18
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Fixed values of the vocabulary's pre-tokenizer.
