@@ -30,6 +30,18 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]], off - off[0]
 
 
+#: Rows in an Arrow batch at most: texts are long, and the JVM and Python both hold a batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches held to ``BATCH_ROWS`` rows (smaller settings stay)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def give_back() -> None:
     """Returns freed memory to the system: Python workers live on after a task, beside the next stage's."""
     pa.default_memory_pool().release_unused()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookflow.llm.common import Rolling, runs, text_slices, utf8
+from bookflow.llm.common import Rolling, runs, small_batches, text_slices, utf8
 
 WINDOW = 10
 SAMPLE = 8
@@ -232,7 +232,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
     """``docs`` (text, any others) with n_words, n_hit (words inside an occurrence), items (array of item_id with an
     occurrence, sorted) and spans (what to remove: start and end in UTF-8 bytes, from a first word to a last)."""
     own = [c for c in docs.columns if c.lower() not in OUTPUT]
-    df = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), "text", F.lit(0).cast("long").alias("n_words"),
+    df = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in own if c != "text")).alias("row"), "text", F.lit(0).cast("long").alias("n_words"),
                      F.array().cast("array<long>").alias("items"),
                      F.array().cast("array<struct<first:int,last:int,start:int,end:int>>").alias("spans"))
     kind = df.schema["row"].dataType.simpleString()
@@ -248,7 +248,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
     ).otherwise(F.concat(done, F.array(s))))
     df = df.withColumn("spans", F.when(F.size("spans") > 1, merged).otherwise(F.col("spans")))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
-    return df.select("row.*", "n_words", hit.alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"),
+    return df.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in own), "n_words", hit.alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"),
                      F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
 
@@ -271,7 +271,8 @@ def _cut(batches):
 
 def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with the words of every occurrence cut out of text; all other columns as they are."""
-    found = search(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text"), benchmark, window, block_bytes)
+    rest = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    found = search(docs.select(rest.alias("row"), "text"), benchmark, window, block_bytes)
     kind = found.schema["row"].dataType.simpleString()
     cut = found.select("row", "text", "spans").mapInArrow(_cut, f"row {kind}, text string")
     return cut.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookflow.llm import urls
-from bookflow.llm.common import materialize
+from bookflow.llm.common import materialize, small_batches
 
 LEAST = 8
 IMPORTANCE = 0.2
@@ -221,7 +221,7 @@ def _extracted(batches):
 def extract(pages: DataFrame, least: int = LEAST, importance: float = IMPORTANCE) -> DataFrame:
     """``pages`` (url, html, any others) without html, with text."""
     own = [c for c in pages.columns if c.lower() not in ("html", "text")]
-    held = pages.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), urls.host("url").alias("host"), "html")
+    held = small_batches(pages).select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), urls.host("url").alias("host"), "html")
     tree = style_tree(held)
     low = materialize(tree.filter((F.col("pages") >= least) & (F.col("importance") < importance))
                       .groupBy("host").agg(F.collect_list("path").alias("low")), "style_tree")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookflow.llm.common import text_slices, utf8
+from bookflow.llm.common import small_batches, text_slices, utf8
 from bookflow.llm.words import Words
 
 SAMPLE = 1600
@@ -246,17 +246,18 @@ def _predicted(shared):
                     if ((raw | 32) - 97 < 26).any() or any(c.isalpha() for c in texts[i].as_py()):
                         best[i] = model.languages[top[i]]
                         score[i] = min(1.0, total[i, top[i]] / words.count[i])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["row", "text", "lang_pred", "score"])
     return rows
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (text, any others) with lang_pred and score (the share of the words, by probability, in it)."""
     own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), "text")
+    held = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in own if c != "text")).alias("row"), "text")
     kind = held.schema["row"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x languages
-    return held.mapInArrow(_predicted(shared), f"row {kind}, lang_pred string, score double").select("row.*", "lang_pred", "score")
+    return held.mapInArrow(_predicted(shared), f"row {kind}, text string, lang_pred string, score double").select(
+        *((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in own), "lang_pred", "score")
 
 
 def word_languages(text: str, model: Model) -> list[tuple[str, str]]:

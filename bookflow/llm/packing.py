@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookflow.llm.common import materialize, text_slices
+from bookflow.llm.common import materialize, small_batches, text_slices
 from bookflow.llm.tokens import Pieces
 
 ROOM = 1024
@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, room: int = ROOM, end: int = END, wi
     """A row per piece of ``docs`` (doc_id, text): doc_id, piece, start, length, ids_crc32 and, if asked for, ids
     (little-endian unsigned 32-bit)."""
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, room, end, with_ids), kind)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pieces(tokenizer, room, end, with_ids), kind)
 
 
 class _Lengths:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookflow.llm.common import components, materialize, runs, text_slices
+from bookflow.llm.common import components, materialize, runs, small_batches, text_slices
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     by), fp (the fingerprint as a long), component_id (the least doc_id reachable by links, itself included)."""
     if not 0 <= max_bits <= 4:
         raise ValueError("the index guarantees all links up to 4 differing bits")
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("mark"), "text")
+    marked = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("mark"), "text")
     prints = materialize(marked.mapInArrow(_fingerprint_rows(shingle), "doc_id long, mark int, fp long"), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookflow.llm.common import Rolling, materialize, runs, text_slices
+from bookflow.llm.common import Rolling, materialize, runs, small_batches, text_slices
 
 LENGTH = 200
 ANCHOR = 40
@@ -218,9 +218,9 @@ def _removed(batches):
             kept.append(_cut(raw, merged))
             sizes.append(len(raw))
             gone.append(sum(b - a for a, b in merged))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
                                           pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                                          pa.array(kept, pa.binary())], names=["row", *OUTPUT])
+                                          pa.array(kept, pa.binary())], names=["row", "text", *OUTPUT])
 
 
 def _texts(batches):
@@ -249,7 +249,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
 
 
 def _with_spans(docs: DataFrame, own: list[str], length: int, anchor: int) -> DataFrame:
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"),
+    keyed = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in own if c != "text")).alias("row"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"),
                         F.hash("text").alias("mark"), F.col("text"))
     spans = (repeated_spans(keyed, length, anchor).distinct().groupBy("doc", "mark")
@@ -259,15 +259,16 @@ def _with_spans(docs: DataFrame, own: list[str], length: int, anchor: int) -> Da
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` (doc_id, text, any others) with n_bytes, n_removed, spans (start, end in UTF-8 bytes) and kept (binary)."""
-    joined = _with_spans(docs, [c for c in docs.columns if c.lower() not in OUTPUT], length, anchor)
+    own = [c for c in docs.columns if c.lower() not in OUTPUT]
+    joined = _with_spans(docs, own, length, anchor)
     kind = joined.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(_removed, f"row {kind}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
-    return out.select("row.*", *OUTPUT)
+    out = joined.mapInArrow(_removed, f"row {kind}, text string, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
+    return out.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in own), *OUTPUT)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with what is left of text; all other columns as they are."""
-    joined = _with_spans(docs, [c for c in docs.columns if c != "text"], length, anchor)
+    joined = _with_spans(docs, docs.columns, length, anchor)
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(_texts, f"row {kind}, text string")
     return out.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))

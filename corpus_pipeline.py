@@ -27,9 +27,9 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no letters at all) go."""
-    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "text")
-    kept = L.predict(held, L.train(docs)).filter(F.col("lang_pred") != L.UNKNOWN)
-    return kept.select("doc.*")
+    rest = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    kept = L.predict(docs.select(rest.alias("doc"), "text"), L.train(docs)).filter(F.col("lang_pred") != L.UNKNOWN)
+    return kept.select(*((F.col("text") if c == "text" else F.col("doc")[c]).alias(c) for c in docs.columns))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
