@@ -338,7 +338,7 @@ def q_landing_inventory(spark, d):
     root = scratch_path(spark, "landing")
     L.write_landing(s.load_a, root)
     L.write_landing(s.load_b, root)
-    return L.inventory(spark, root).drop("modificationTime", "length", "path")
+    return L.inventory(spark, root, L.LISTING_MAX_RESULTS).drop("modificationTime", "length", "path")
 
 
 def q_kpi_view(spark, d):

@@ -109,4 +109,4 @@ def map_with_fallback(c, mapping: dict) -> Column:
 def int_or_default(c, default: int) -> Column:
     """``parseInt(x) || default``: NULL, unparsable and 0 all take the default."""
     v = parse_int(c)
-    return F.coalesce(F.nullif(v, F.lit(0)), F.lit(default)).cast("int")
+    return F.coalesce(F.nullif(v, F.lit(0)).try_cast("int"), F.lit(default))  # beyond an int: the default, too

@@ -55,9 +55,9 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return conform(raw.select([c for c in raw.columns if c not in PARTS]))
 
 
-def inventory(spark: SparkSession, root: str, max_results: int | None = LISTING_MAX_RESULTS) -> DataFrame:
+def inventory(spark: SparkSession, root: str, max_results: int | None = None) -> DataFrame:
     """C4 + O3: landing files with size and modification time, joined to the
-    manifest; first ``max_results`` by path. File contents are never read
+    manifest; all of them, or the first ``max_results`` by path. File contents are never read
     (only path/length/modificationTime are selected)."""
     configure(spark)
     root = root.rstrip("/")
