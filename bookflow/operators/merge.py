@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookflow.schema import MERGE_KEYS, RESERVATION_COLUMNS
+from bookflow.session import materialize
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -27,31 +28,16 @@ def target_keys(target: DataFrame) -> DataFrame:
     )
 
 
-# A run's keys up to this many rows (~100 bytes each) are broadcast.
-SOURCE_BROADCAST_ROWS = 2_000_000
-
-
-def source_is_small(source: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS) -> bool:
-    """Proven row bound: stops reading once ``broadcast_rows`` is exceeded."""
-    return source.limit(broadcast_rows + 1).count() <= broadcast_rows
-
-
-def classify(source: DataFrame, target: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS,
-             small: bool | None = None) -> DataFrame:
+def classify(source: DataFrame, target: DataFrame) -> DataFrame:
     """M1: every source row with its action and the matched row's old date.
 
-    The production side is the big one. When the run provably has at most
-    ``broadcast_rows`` rows, its keys are broadcast and the production key
-    scan is probed map-side (no shuffle of production); only the matches,
-    at most one per source row, meet the source in a small join. Beyond the
-    bound both sides are shuffled on the keys.
+    The production side is the big one: its keys are first cut to the run's
+    (left semi), which Spark probes map-side when the run's files are small
+    enough to broadcast; then only matches, at most one per source row, meet
+    the source. A larger run shuffles production's keys once, and the second
+    join reuses that partitioning.
     """
-    tk = target_keys(target)
-    if small is None:
-        small = source_is_small(source, broadcast_rows)
-    if small:
-        probe = F.broadcast(source.select(*MERGE_KEYS))
-        tk = tk.join(probe, MERGE_KEYS, "left_semi")
+    tk = target_keys(target).join(source.select(*MERGE_KEYS), MERGE_KEYS, "left_semi")
     j = source.join(tk, MERGE_KEYS, "left")
     action = (
         F.when(F.col("_t_matched").isNull(), F.lit(INSERT))
@@ -78,20 +64,16 @@ def merge_stats(actions: DataFrame) -> DataFrame:
     )
 
 
-def merged_table(target: DataFrame, source: DataFrame, broadcast_rows: int = SOURCE_BROADCAST_ROWS) -> DataFrame:
+def merged_table(target: DataFrame, source: DataFrame) -> DataFrame:
     """M2: production after the MERGE = production rows whose key was not
     updated + inserted and updated source rows.
 
-    With a run of at most ``broadcast_rows`` rows both passes over
-    production are map-side (broadcast probe, broadcast anti join); the
-    production table is never shuffled. Beyond the bound Spark shuffles on
-    the keys.
+    The classified run is written once (it is read twice, and its real size
+    lets Spark pick the anti join: a small run is broadcast and production
+    is not shuffled).
     """
-    small = source_is_small(source, broadcast_rows)
-    acts = classify(source, target, broadcast_rows, small)
+    acts = materialize(classify(source, target), "classified")
     changed = acts.filter(F.col("action") != UNCHANGED).select(RESERVATION_COLUMNS)
     updated = acts.filter(F.col("action") == UPDATE).select(MERGE_KEYS)
-    if small:
-        updated = F.broadcast(updated)
     kept = target.join(updated, MERGE_KEYS, "left_anti").select(RESERVATION_COLUMNS)
     return kept.unionByName(changed)

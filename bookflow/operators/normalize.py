@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from bookflow.functions.identity import record_hash, record_key
 from bookflow.functions.parse import map_with_fallback, parse_date, parse_int, parse_time, valid_time_of_day
-from bookflow.operators.joins import broadcast_if_small
 from bookflow.schema import RESERVATION_COLUMNS, VENDOR
 from bookflow.schema import profile as get_profile
 
@@ -42,9 +41,7 @@ def identify(typed: DataFrame, store_names: DataFrame, run_id, ingestion_ts, pro
     p = get_profile(profile)
     # store_id and store_name both come from the store master (the joined
     # side), as each record takes its store's identity.
-    stores = broadcast_if_small(
-        store_names.select(F.col("store_id").alias("_m_store_id"), F.col("store_name").alias("_m_store_name"))
-    )
+    stores = store_names.select(F.col("store_id").alias("_m_store_id"), F.col("store_name").alias("_m_store_name"))
     j = typed.join(stores, typed["store_id"] == stores["_m_store_id"], "inner")
     # Two projections: standardised channel/status are used twice (output and
     # hash), so they are computed once and referenced, not inlined twice.

@@ -12,21 +12,31 @@ SUCCESS, FAILED, SKIPPED = "success", "failed", "skipped"
 
 
 def transform_yield(normalized: DataFrame) -> DataFrame:
-    """A5: per store, parsed lines vs. rows that pass validation."""
+    """A5: per store, parsed lines vs. rows that pass validation.
+
+    With an ``in_window`` column ``valid_rows`` are those inside the store's
+    window and ``outside_rows`` the valid ones outside it, so parsed = valid
+    + outside + rejected.
+    """
     ok = F.col("reject_reason") == ""
-    return normalized.groupBy("store_id").agg(
+    inside = F.col("in_window") if "in_window" in normalized.columns else F.lit(True)
+    counts = [
         F.count(F.lit(1)).alias("parsed_rows"),
-        F.count_if(ok).alias("valid_rows"),
+        F.count_if(ok & inside).alias("valid_rows"),
         F.count_if(~ok).alias("rejected_rows"),
-    )
+    ]
+    if "in_window" in normalized.columns:
+        counts.append(F.count_if(ok & ~inside).alias("outside_rows"))
+    return normalized.groupBy("store_id").agg(*counts)
 
 
 def run_summary(active: DataFrame, normalized: DataFrame, rejected_files: DataFrame | None = None,
-                strict: bool = False) -> DataFrame:
+                strict: bool = False, windows: DataFrame | None = None) -> DataFrame:
     """A4 + V2: one row per active store: success / failed / skipped.
 
-    * failed  - its export file was rejected by the scan, or (``strict``) any
-                row failed validation, which would fail the store's load;
+    * failed  - its export file was rejected by the scan, its window's dates
+                (``windows``) can't be read, or (``strict``) any row failed
+                validation, which would fail the store's load;
     * skipped - no lines, or no loadable lines;
     * success - ``records`` rows loaded.
     The per-store counts are an aggregate (one row per store), so the join
@@ -42,7 +52,13 @@ def run_summary(active: DataFrame, normalized: DataFrame, rejected_files: DataFr
     parsed = F.coalesce(F.col("parsed_rows"), F.lit(0))
     valid = F.coalesce(F.col("valid_rows"), F.lit(0))
     rejected = F.coalesce(F.col("rejected_rows"), F.lit(0))
+    if windows is not None:
+        unread = F.when(F.col("window_from").isNull() | F.col("window_to").isNull(), F.lit("unreadable from_date or to_date"))
+        base = base.join(windows.select("store_id", unread.alias("_window_error")), "store_id", "left")
+    else:
+        base = base.withColumn("_window_error", F.lit(None).cast("string"))
     error = F.when(F.col("_file_error").isNotNull(), F.col("_file_error"))
+    error = error.when(F.col("_window_error").isNotNull(), F.col("_window_error"))
     if strict:
         error = error.when(rejected > 0, F.concat(rejected.cast("string"), F.lit(" rows failed validation")))
     status = (

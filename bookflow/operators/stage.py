@@ -12,11 +12,11 @@ STAGE_PARTITION = "ingestion_date"
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Bind by *name* to the fixed 15-column schema (absent -> NULL), cast types."""
+    """Bind by *name* to the fixed 15-column schema (absent -> NULL), cast types; a cell that can't be cast is NULL."""
     present = set(df.columns)
     return df.select(
         [
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in present else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in RESERVATION_SCHEMA.fields
         ]
     )
@@ -65,8 +65,3 @@ def stage_retention(stage: DataFrame, as_of, days: int = STAGE_RETENTION_DAYS) -
     prunes whole partitions.
     """
     return stage.filter(F.col(STAGE_PARTITION) >= retention_cutoff(as_of, days))
-
-
-def expired_stage_dates(stage: DataFrame, as_of, days: int = STAGE_RETENTION_DAYS) -> DataFrame:
-    """Partition values that retention removes."""
-    return stage.filter(F.col(STAGE_PARTITION) < retention_cutoff(as_of, days)).select(STAGE_PARTITION).distinct()

@@ -7,9 +7,11 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookflow.functions.parse import int_or_default, parse_int
-from bookflow.operators.joins import broadcast_if_small
-from bookflow.schema import DEFAULT_DAYS_BACK
+from bookflow.functions.parse import int_or_default, parse_date, parse_int
+from bookflow.schema import DATE_FORMATS_EXECUTED, DEFAULT_DAYS_BACK
+
+# Further back (or ahead) than this is before (after) every reservation.
+MAX_DAYS = 700_000
 
 
 def _nonblank(c: str) -> Column:
@@ -62,31 +64,39 @@ def store_windows(active: DataFrame, as_of) -> DataFrame:
 
     Both explicit dates set -> [from_date, to_date]; otherwise
     [as_of - (days_back + 1), as_of - 1] (yesterday back days_back+1 days).
-    ``as_of`` is "today" in the source time zone, a parameter.
+    Explicit dates take the same ordered formats as reservation dates; an
+    unreadable one leaves a NULL bound, which ``run_summary`` reports as the
+    store's error. ``as_of`` is "today" in the source time zone, a parameter.
     """
     today = _as_date(as_of)
     explicit = _nonblank("from_date") & _nonblank("to_date")
     days = F.coalesce(F.nullif(parse_int(F.col("days_back").cast("string")), F.lit(0)), F.lit(DEFAULT_DAYS_BACK))
+    days = F.greatest(F.least(days, F.lit(MAX_DAYS)), F.lit(-MAX_DAYS))
     return active.select(
         "store_id",
-        F.when(explicit, F.try_to_date(F.col("from_date")))
+        F.when(explicit, parse_date("from_date", DATE_FORMATS_EXECUTED))
         .otherwise(F.date_sub(today, (days + 1).cast("int")))
         .alias("window_from"),
-        F.when(explicit, F.try_to_date(F.col("to_date")))
+        F.when(explicit, parse_date("to_date", DATE_FORMATS_EXECUTED))
         .otherwise(F.date_sub(today, 1))
         .alias("window_to"),
     )
 
 
-def windowed_reservations(reservations: DataFrame, windows: DataFrame) -> DataFrame:
-    """Rows whose reserve_date lies inside their own store's window.
+def mark_window(reservations: DataFrame, windows: DataFrame) -> DataFrame:
+    """Every row with ``in_window``: whether its reserve_date lies inside its
+    own store's window (false for a NULL date or a NULL bound; no row goes).
 
-    An equi join on store_id plus a range condition; the window table has one
-    row per store, so it is broadcast behind a size check and the big side is
-    never shuffled. A store holding a third of all rows costs nothing extra.
+    An equi join on store_id with one row per store on the other side, which
+    Spark broadcasts when its files are small; otherwise AQE splits a store
+    that holds a large share of the rows.
     """
-    w = broadcast_if_small(windows.withColumnRenamed("store_id", "_w_store_id"))
-    cond = (F.col("store_id") == F.col("_w_store_id")) & F.col("reserve_date").between(
-        F.col("window_from"), F.col("window_to")
-    )
-    return reservations.join(w, cond, "inner").drop("_w_store_id", "window_from", "window_to")
+    w = windows.withColumnRenamed("store_id", "_w_store_id")
+    j = reservations.join(w, F.col("store_id") == F.col("_w_store_id"), "left")
+    inside = F.col("reserve_date").between(F.col("window_from"), F.col("window_to"))
+    return j.withColumn("in_window", F.coalesce(inside, F.lit(False))).drop("_w_store_id", "window_from", "window_to")
+
+
+def windowed_reservations(reservations: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows whose reserve_date lies inside their own store's window."""
+    return mark_window(reservations, windows).filter("in_window").drop("in_window")

@@ -1,9 +1,9 @@
 """The daily run and the manual backfill as one Spark job each.
 
 E1: store master -> active stores -> scan all stores' exports in one pass
--> map -> normalise -> validate (written once) -> landing files + manifest
--> stage append -> quarantine -> MERGE of the run -> KPI partitions the
-merge touched -> run summary.
+-> map -> normalise -> validate -> window (written once) -> run summary
+-> landing files + manifest -> stage append -> quarantine -> MERGE of the
+run -> KPI partitions that merges touched -> stage retention.
 Per-store isolation is data: rejected files, rejected rows and the status
 of every store (success / failed / skipped) in ``summary``.
 """
@@ -15,14 +15,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookflow.functions.naming import run_id_for
+from bookflow.functions.naming import run_id_for, utc_date
 from bookflow.operators.mapping import map_columns
-from bookflow.operators.normalize import normalize, rejected_rows, valid_rows
-from bookflow.operators.runs import SUCCESS, run_summary
+from bookflow.operators.normalize import normalize, reject_reason, rejected_rows, valid_rows
+from bookflow.operators.runs import SUCCESS, run_summary, transform_yield
 from bookflow.operators.stage import stage_dedup
-from bookflow.operators.stores import active_stores, store_windows, windowed_reservations
+from bookflow.operators.stores import active_stores, mark_window, store_windows
 from bookflow.plans import landing as L
 from bookflow.plans import tables as TB
+from bookflow.schema import REQUIRED_COLUMNS
+from bookflow.schema import profile as get_profile
 from bookflow.session import configure, materialize
 from bookflow.sources.csv_files import FILE, scan_exports
 
@@ -36,6 +38,7 @@ class RunResult:
     rejected_files: DataFrame
     merge: dict | None
     load: dict | None = None
+    yields: DataFrame | None = None
 
 
 def run_id_of(spark: SparkSession, run_ts: str) -> str:
@@ -56,49 +59,66 @@ def daily_run(
     dry_run: bool = False,
 ) -> RunResult:
     """Run one daily load. ``run_ts`` is the run start (an instant; the run id
-    and landing folders use the source time zone). With ``as_of`` rows outside
-    each store's window are dropped (J2). ``dry_run`` returns the lazy frames
-    and writes nothing."""
+    and landing folders use the source time zone). With ``as_of`` valid rows
+    outside each store's window aren't loaded (J2); ``yields`` counts them, so
+    parsed = valid + outside + rejected for every store. ``dry_run`` returns
+    the frames and writes nothing but scratch files."""
     configure(spark)
     run_id = run_id_of(spark, run_ts)
     active = active_stores(stores)
-    lines, bad_files = scan_exports(spark, exports_path)
+    lines, bad_files = scan_exports(spark, exports_path, columns=list(get_profile(profile).column_map))
     mapped = map_columns(lines, profile, keep=("store_id", FILE))
     norm = normalize(mapped, active, run_id, run_ts, profile)
-    if as_of is not None:
-        norm = windowed_reservations(norm, store_windows(active, as_of))
-    if not dry_run:
-        norm = materialize(norm, f"normalized-{run_id}")
-    summary = run_summary(active, norm, bad_files, strict)
+    windows = store_windows(active, as_of) if as_of is not None else None
+    if windows is not None:
+        norm = mark_window(norm, windows)
+    norm = materialize(norm, f"normalized-{run_id}")
+    summary = materialize(run_summary(active, norm, bad_files, strict, windows), f"summary-{run_id}")
     ok_stores = summary.filter(F.col("status") == SUCCESS).select("store_id")
-    valid = valid_rows(norm).join(F.broadcast(ok_stores), "store_id", "left_semi")
+    inside = norm.filter("in_window") if windows is not None else norm
+    valid = valid_rows(inside.join(ok_stores, "store_id", "left_semi"))
     rejected = rejected_rows(norm)
-    result = RunResult(run_id, summary, valid, rejected, bad_files, None)
+    result = RunResult(run_id, summary, valid, rejected, bad_files, None, yields=transform_yield(norm))
     if dry_run:
         return result
 
     L.write_landing(valid, landing_root)
     TB.create_tables(spark, database, tables_root)
     result.load = TB.append_stage(spark, database, valid)
-    rejected.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(
-        f"{tables_root.rstrip('/')}/quarantine"
-    )
+    _quarantine(rejected, tables_root, run_id)
     if ok_stores.limit(1).count() > 0:
         source = stage_dedup(TB.read_stage(spark, database), run_id)
         result.merge = TB.apply_merge(spark, database, source)
-        # KPI table: only the reserve_date partitions this merge changed.
-        TB.create_kpi_table(spark, database, tables_root)
-        TB.refresh_kpi(spark, database)
+    # KPI table: only the reserve_date partitions that this merge, or one that
+    # was never followed by a refresh, changed.
+    TB.create_kpi_table(spark, database, tables_root)
+    TB.refresh_kpi(spark, database)
+    TB.expire_stage(spark, database, utc_date(F.lit(run_ts).cast("timestamp")))
     return result
 
 
+def _quarantine(rejected: DataFrame, tables_root: str, run_id: str) -> None:
+    rejected.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(
+        f"{tables_root.rstrip('/')}/quarantine"
+    )
+
+
 def manual_backfill(spark: SparkSession, path: str, database: str, tables_root: str, run_id: str) -> dict:
     """Load landing-format files from ``path`` into stage under
-    ``run_id`` and merge that run; returns load (A6) and merge (A3) counts."""
+    ``run_id``, merge that run and refresh the KPI dates it changed; returns
+    load (A6) and merge (A3) counts. Rows are validated as in the daily run
+    (a cell that can't be read is NULL; every required column must be there)
+    and the others quarantined with their reasons."""
     configure(spark)
     TB.create_tables(spark, database, tables_root)
-    load = TB.load_files_to_stage(
-        spark, database, path, lambda s, p: L.read_landing(s, p).withColumn("run_id", F.lit(run_id))
-    )
+    rows = L.read_landing(spark, path).withColumn("run_id", F.lit(run_id))
+    checked = ("store_id", "reserve_date")  # reject_reason names these itself
+    absent = [F.when(F.col(c).isNull(), F.lit(f"missing_{c}")) for c in REQUIRED_COLUMNS if c not in checked]
+    reasons = F.concat_ws(",", F.nullif(reject_reason(rows), F.lit("")), *absent)
+    rows = materialize(rows.withColumn("reject_reason", reasons), f"backfill-{run_id}")
+    load = TB.load_files_to_stage(spark, database, path, lambda s, p: valid_rows(rows))
+    _quarantine(rejected_rows(rows), tables_root, run_id)
     merge = TB.apply_merge(spark, database, stage_dedup(TB.read_stage(spark, database), run_id))
+    TB.create_kpi_table(spark, database, tables_root)
+    TB.refresh_kpi(spark, database)
     return {"load": load, "merge": merge}

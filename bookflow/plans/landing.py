@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from bookflow.functions.naming import local_ts
 from bookflow.operators.runs import landing_manifest
 from bookflow.operators.stage import conform
-from bookflow.schema import LANDING_RETENTION_DAYS, LISTING_MAX_RESULTS, RESERVATION_COLUMNS
+from bookflow.schema import LANDING_RETENTION_DAYS, RESERVATION_COLUMNS
 from bookflow.session import configure
 
 DATA = "data"
@@ -40,9 +40,14 @@ def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled") -
         .partitionBy(*PARTS)
         .option("header", True)
         .option("quoteAll", True)
+        .option("escape", '"')
         .csv(f"{root}/{DATA}")
     )
-    manifest = landing_manifest(valid).withColumn("upload_type", F.lit(upload_type))
+    folder = F.concat(
+        F.lit(f"{root}/{DATA}/ingest_date="), F.date_format(local_ts("upload_ts"), "yyyy-MM-dd"),
+        F.lit("/run="), F.col("run_id"), F.lit("/store="), F.col("store_id"),
+    )
+    manifest = landing_manifest(valid).withColumns({"object_path": folder, "upload_type": F.lit(upload_type)})
     manifest.write.mode("append").partitionBy("run_id").parquet(f"{root}/{MANIFEST}")
 
 
@@ -50,15 +55,16 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """Landing (or manual) CSVs back to the fixed record schema, bound by
     header name; ready for a stage append."""
     configure(spark)
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
     # Folder levels repeat run/store; the file columns carry the values.
     return conform(raw.select([c for c in raw.columns if c not in PARTS]))
 
 
 def inventory(spark: SparkSession, root: str, max_results: int | None = None) -> DataFrame:
-    """C4 + O3: landing files with size and modification time, joined to the
-    manifest; all of them, or the first ``max_results`` by path. File contents are never read
-    (only path/length/modificationTime are selected)."""
+    """C4 + O3: one row per landing object (a store's folder of one run and
+    date): part files, bytes and last modification from a listing, record
+    count and upload time from the manifest; all of them, or the first
+    ``max_results`` by path. File contents are never read."""
     configure(spark)
     root = root.rstrip("/")
     files = (
@@ -67,16 +73,32 @@ def inventory(spark: SparkSession, root: str, max_results: int | None = None) ->
         .load(f"{root}/{DATA}")
         .select("path", "length", "modificationTime", *PARTS)
         .withColumnsRenamed({"run": "run_id", "store": "store_id"})
+        .groupBy("ingest_date", "run_id", "store_id")
+        .agg(
+            F.regexp_replace(F.min("path"), "/[^/]*$", "").alias("path"),
+            F.count(F.lit(1)).alias("files"),
+            F.sum("length").alias("length"),
+            F.max("modificationTime").alias("modificationTime"),
+        )
     )
-    man = spark.read.parquet(f"{root}/{MANIFEST}").select(
-        "store_id", "run_id", "record_count", "upload_ts", "vendor", "upload_type"
+    # A run that was landed in several writes has several manifest rows.
+    man = (
+        spark.read.parquet(f"{root}/{MANIFEST}")
+        .withColumn("ingest_date", F.date_format(local_ts("upload_ts"), "yyyy-MM-dd"))
+        .groupBy("ingest_date", "run_id", "store_id")
+        .agg(
+            F.sum("record_count").alias("record_count"),
+            F.min("upload_ts").alias("upload_ts"),
+            F.min("vendor").alias("vendor"),
+            F.min("upload_type").alias("upload_type"),
+        )
     )
-    out = files.join(man, ["store_id", "run_id"], "left").orderBy("path")
+    out = files.join(man, ["ingest_date", "run_id", "store_id"], "left").orderBy("ingest_date", "run_id", "store_id")
     return out.limit(max_results) if max_results else out
 
 
 def expired_files(inv: DataFrame, as_of_ts, days: int = LANDING_RETENTION_DAYS) -> DataFrame:
-    """Files last modified before ``as_of_ts - days``."""
+    """Landing objects last modified before ``as_of_ts - days``."""
     cutoff = F.lit(str(as_of_ts)).cast("timestamp") - F.make_interval(days=F.lit(days))
     return inv.filter(F.col("modificationTime") < cutoff)
 

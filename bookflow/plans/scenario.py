@@ -48,6 +48,12 @@ def adjust_run_b(typed: DataFrame) -> DataFrame:
     )
 
 
+def normalized_all(spark: SparkSession, sf_dir: str, profile="executed") -> DataFrame:
+    """Every export line, normalised as one run."""
+    return normalize(mapped_lines(spark, sf_dir, profile), active(spark, sf_dir), fixtures.RUN_A["run_id"],
+                     fixtures.RUN_A["ingestion_ts"], profile, keep=("src_key",))
+
+
 def normalized_run_a(spark: SparkSession, sf_dir: str, profile="executed") -> DataFrame:
     lines = mapped_lines(spark, sf_dir, profile).filter(F.col("src_key") % 3 != 0)
     return normalize(lines, active(spark, sf_dir), fixtures.RUN_A["run_id"], fixtures.RUN_A["ingestion_ts"],

@@ -24,6 +24,10 @@ partitions it touches:
 
 The swap is per partition, not atomic across partitions. Re-running the
 same merge is idempotent: updates become "unchanged", nothing is inserted.
+
+The dates a merge changes are written to ``kpi_pending`` before production
+is touched, and ``refresh_kpi`` marks the merge in ``kpi_done`` after the
+KPI table has them: a run that dies in between is made good by the next one.
 """
 
 from __future__ import annotations
@@ -31,12 +35,13 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bookflow.operators.joins import broadcast_if_small
 from bookflow.operators.merge import INSERT, UNCHANGED, UPDATE, classify
+from bookflow.operators.reports import daily_kpi
 from bookflow.operators.stage import STAGE_PARTITION, conform, retention_cutoff
 from bookflow.schema import MERGE_KEYS, RESERVATION_COLUMNS, RESERVATION_SCHEMA, STAGE_RETENTION_DAYS
 from bookflow.session import configure, materialize, scratch_path
@@ -47,10 +52,9 @@ STAGE = "stage_reservations"
 PRODUCTION = "reservations"
 KPI = "daily_kpi"
 
-# Touched partitions are calendar dates: bounded by the calendar, not by
-# the data volume. Beyond this many the merge refuses rather than building
-# a huge IN-list on the driver.
-MAX_TOUCHED_PARTITIONS = 20_000
+# Dates whose KPI rows a merge makes stale, and the merges already dealt with.
+KPI_PENDING = "kpi_pending"
+KPI_DONE = "kpi_done"
 
 
 def _ddl_columns(exclude: str) -> str:
@@ -81,6 +85,8 @@ def create_tables(spark: SparkSession, database: str, root: str) -> None:
         f"CREATE TABLE IF NOT EXISTS {database}.{PRODUCTION} ({_ddl_columns('reserve_date')}, reserve_date DATE) "
         f"USING parquet PARTITIONED BY (reserve_date) LOCATION '{root}/{PRODUCTION}'"
     )
+    for t, columns in ((KPI_PENDING, "merge_id STRING, reserve_date DATE"), (KPI_DONE, "merge_id STRING")):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{t} ({columns}) USING parquet LOCATION '{root}/{t}'")
     for t in (STAGE, PRODUCTION):
         try:  # re-attach partitions already written under the location
             spark.sql(f"ALTER TABLE {database}.{t} RECOVER PARTITIONS")
@@ -101,6 +107,8 @@ def append_stage(spark: SparkSession, database: str, valid: DataFrame) -> dict:
     obs = Observation("stage_load")
     rows = conform(valid).observe(obs, F.count(F.lit(1)).alias("output_rows"))
     rows = rows.withColumn(STAGE_PARTITION, F.to_date("ingestion_ts"))
+    # Near rows go to one file (AQE splits a store with a large share of them).
+    rows = rows.hint("rebalance", STAGE_PARTITION, "store_id")
     rows = rows.sortWithinPartitions(STAGE_PARTITION, "store_id", "vendor", "run_id")
     _insert(rows, f"{database}.{STAGE}")
     return {"output_rows": obs.get["output_rows"]}
@@ -147,7 +155,7 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
         log.info("merge %s: %s done at %.2fs", table, name, time.perf_counter() - t0)
 
     target = read_production(spark, database)
-    source = materialize(source, "merge-source")  # read by the size check and the join
+    source = materialize(source, "merge-source")  # read twice
 
     classify(source, target).write.mode("overwrite").parquet(f"{scratch}/classified")
     classified = spark.read.parquet(f"{scratch}/classified")
@@ -164,26 +172,20 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     }
     changes = classified.filter(F.col("action") != UNCHANGED)
     if result["inserted_rows"] + result["updated_rows"] == 0:
-        LAST_TOUCHED[table] = []
         return result
 
     # Copy-on-write only where an update lands or leaves: a partition that
     # only receives inserts keeps its files and gets the new rows appended.
     updates = changes.filter(F.col("action") == UPDATE)
-    rewrite_df = (
-        updates.select(F.col("reserve_date").alias("d"))
-        .unionByName(updates.select(F.col("_t_reserve_date").alias("d")))
-        .distinct()
-    )
-    rewrite = [r["d"] for r in rewrite_df.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(rewrite) > MAX_TOUCHED_PARTITIONS:
-        raise RuntimeError("merge updates too many partitions for a partition-wise rewrite")
-    phase(f"partitions to rewrite ({len(rewrite)})")
-
-    if rewrite:
-        updated_keys = broadcast_if_small(updates.select(MERGE_KEYS), 5_000_000)
-        kept = target.filter(F.col("reserve_date").isin(rewrite)).join(updated_keys, MERGE_KEYS, "left_anti")
-        incoming = changes.filter(F.col("reserve_date").isin(rewrite)).select(RESERVATION_COLUMNS)
+    left = updates.select(F.col("_t_reserve_date").alias("reserve_date"))
+    touched = changes.select("reserve_date").unionByName(left).distinct()
+    _insert(touched.withColumn("merge_id", F.lit(uuid.uuid4().hex)), f"{database}.{KPI_PENDING}")
+    rewrite = materialize(updates.select("reserve_date").unionByName(left).distinct(), "merge-rewrite-dates")
+
+    if result["updated_rows"]:
+        kept = target.join(_prunes(rewrite), "reserve_date", "left_semi")
+        kept = kept.join(updates.select(MERGE_KEYS), MERGE_KEYS, "left_anti").select(RESERVATION_COLUMNS)
+        incoming = changes.join(rewrite, "reserve_date", "left_semi").select(RESERVATION_COLUMNS)
         (
             kept.unionByName(incoming)
             .hint("rebalance", "reserve_date")
@@ -194,16 +196,11 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
         )
         phase("rewrite written")
         rewritten = spark.read.schema(RESERVATION_SCHEMA).parquet(f"{scratch}/rewrite")
-        present = {r["reserve_date"] for r in rewritten.select("reserve_date").distinct().collect()}
         _insert(rewritten, table, overwrite=True)
         phase("rewritten partitions swapped")
-        for d in rewrite:
-            if d not in present:
-                _drop_partition_data(spark, table, "reserve_date", d)
+        _drop_vacated(spark, table, rewrite, rewritten)
 
-    appends = changes.filter(F.col("action") == INSERT)
-    if rewrite:
-        appends = appends.filter(~F.col("reserve_date").isin(rewrite))
+    appends = changes.filter(F.col("action") == INSERT).join(rewrite, "reserve_date", "left_anti")
     _insert(
         appends.select(RESERVATION_COLUMNS)
         .hint("rebalance", "reserve_date")
@@ -212,14 +209,23 @@ def apply_merge(spark: SparkSession, database: str, source: DataFrame) -> dict:
     )
     phase("inserts appended")
     spark.catalog.refreshTable(table)
-    inserted_dates = appends.select("reserve_date").distinct()
-    LAST_TOUCHED[table] = sorted(set(rewrite) | {r["reserve_date"] for r in inserted_dates.limit(
-        MAX_TOUCHED_PARTITIONS + 1).collect()})
     return result
 
 
-# Partition values the last merge into a table changed (bounded by the calendar).
-LAST_TOUCHED: dict[str, list] = {}
+def _prunes(dates: DataFrame) -> DataFrame:
+    """``dates`` (a small written table of ``reserve_date``) for a join with a
+    partitioned table. Spark prunes partitions at run time only by a side
+    that has a comparison; the date formats read no year before 1, so
+    this one is true of every date."""
+    return dates.filter(F.col("reserve_date") >= F.lit("0001-01-01").cast("date"))
+
+
+def _drop_vacated(spark: SparkSession, table: str, dates: DataFrame, written: DataFrame) -> None:
+    """Remove those of ``dates`` that got no rows (days that lost their last
+    reservation, or KPI rows of such days)."""
+    gone = dates.join(written.select("reserve_date").distinct(), "reserve_date", "left_anti")
+    for r in gone.collect():
+        _drop_partition_data(spark, table, "reserve_date", r["reserve_date"])
 
 
 def create_kpi_table(spark: SparkSession, database: str, root: str) -> None:
@@ -237,31 +243,29 @@ def create_kpi_table(spark: SparkSession, database: str, root: str) -> None:
             raise
 
 
-def refresh_kpi(spark: SparkSession, database: str, dates=None) -> int:
-    """Recompute the KPI rows of ``dates`` (default: the partitions the last
-    merge changed; ``"all"`` for a full rebuild) from production and swap
-    those partitions in. Every KPI group lies inside one reserve_date, so
-    other partitions are unaffected; the daily cost follows the change, not
-    the table. Returns the number of partitions refreshed."""
-    from bookflow.operators.reports import daily_kpi
-
+def refresh_kpi(spark: SparkSession, database: str, everything: bool = False) -> int:
+    """Recompute from production the KPI rows of every date that a merge
+    changed since its last refresh (or, with ``everything``, of all dates),
+    swap those partitions in and mark the merges done. Every KPI group lies
+    inside one reserve_date, so other partitions are unaffected; the daily
+    cost follows the change, not the table. Returns the number of dates."""
     table = f"{database}.{KPI}"
+    done = spark.table(f"{database}.{KPI_DONE}")
+    todo = materialize(spark.table(f"{database}.{KPI_PENDING}").join(done, "merge_id", "left_anti"), "kpi-todo")
+    dates = todo.select("reserve_date").distinct()
     prod = read_production(spark, database)
-    if dates is None:
-        dates = LAST_TOUCHED.get(f"{database}.{PRODUCTION}", [])
-    if dates != "all":
-        if not dates:
-            return 0
-        prod = prod.filter(F.col("reserve_date").isin(list(dates)))
-    kpi = daily_kpi(prod).hint("rebalance", "reserve_date")
-    present = {r["reserve_date"] for r in kpi.select("reserve_date").distinct().collect()}
-    _insert(kpi, table, overwrite=True)
-    if dates != "all":
-        for d in dates:
-            if d not in present:
-                _drop_partition_data(spark, table, "reserve_date", d)
-    spark.catalog.refreshTable(table)
-    return len(present) if dates == "all" else len(dates)
+    if everything:
+        dates = dates.unionByName(prod.select("reserve_date")).unionByName(
+            spark.table(table).select("reserve_date")).distinct()
+    dates = materialize(dates, "kpi-dates")
+    n = dates.count()
+    if n:
+        kpi = materialize(daily_kpi(prod.join(_prunes(dates), "reserve_date", "left_semi")), "kpi")
+        _insert(kpi.hint("rebalance", "reserve_date"), table, overwrite=True)
+        _drop_vacated(spark, table, dates, kpi)
+        spark.catalog.refreshTable(table)
+        _insert(todo.select("merge_id").distinct(), f"{database}.{KPI_DONE}")
+    return n
 
 
 def expire_stage(spark: SparkSession, database: str, as_of, days: int = STAGE_RETENTION_DAYS) -> list:
@@ -272,8 +276,9 @@ def expire_stage(spark: SparkSession, database: str, as_of, days: int = STAGE_RE
     parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     expired = []
     for p in parts:
-        value = _dt.date.fromisoformat(p.split("=", 1)[1])
-        if value < cutoff:
+        day = p.split("=", 1)[1]
+        value = None if day.startswith("__") else _dt.date.fromisoformat(day)  # rows without a timestamp stay
+        if value and value < cutoff:
             _drop_partition_data(spark, table, STAGE_PARTITION, value)
             expired.append(value)
     return expired

@@ -11,6 +11,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# These must equal the source system's settings and mapping
+# tables for results to agree. Do not edit.
+# ---------------------------------------------------------------------------
+
 # ---------------------------------------------------------------------------
 # Reservation record: 15 columns, same order in stage and production.
 # TIME columns are held as zero-padded "HH:mm:ss" strings (Spark's TIME type
@@ -56,6 +61,10 @@ STORE_COLUMNS = [
 # Credential columns are only ever tested for presence, never projected out.
 STORE_SECRET_COLUMNS = ["rb_username", "rb_password"]
 
+# Output columns of the report.
+REPORT_COLUMNS = ["store_id", "store_name", "reserve_date", "booking_date", "start_time", "end_time", "course_name",
+                  "headcount", "channel", "status", "vendor", "ingestion_ts"]
+
 # Internal names of the mapped raw reservation columns (all strings).
 RAW_COLUMNS = [
     "reservation_id",
@@ -70,10 +79,6 @@ RAW_COLUMNS = [
     "status_raw",
 ]
 
-# ---------------------------------------------------------------------------
-# These must equal the source system's settings and mapping
-# tables for results to agree. Do not edit.
-# ---------------------------------------------------------------------------
 VENDOR = "restaurant_board"
 SOURCE_TIMEZONE = "Asia/Tokyo"
 DEFAULT_DAYS_BACK = 7

@@ -6,7 +6,6 @@ session somebody else built (the driver's, a notebook's, a cluster job's).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,6 +19,8 @@ SEMANTIC_CONFS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Shift_JIS is not in Spark 4's default charset list.
     "spark.sql.legacy.javaCharsets": "true",
+    # A malformed byte in an export becomes a replacement character.
+    "spark.sql.legacy.codingErrorAction": "true",
     # MERGE rewrites only the partitions it touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -91,18 +92,6 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root}/bookflow/{purpose}/{uuid.uuid4().hex}"
 
 
-def local_path(p: str) -> str:
-    """Strip a file: scheme for Python-side path handling in local mode."""
-    return p[5:] if p.startswith("file:") else p
-
-
-def ensure_dir(p: str) -> str:
-    lp = local_path(p)
-    if "://" not in lp:
-        os.makedirs(lp, exist_ok=True)
-    return p
-
-
 def materialize(df, purpose: str, partition_by: str | None = None):
     """Write ``df`` once as parquet under the checkpoint root and read it back.
 
@@ -118,13 +107,3 @@ def materialize(df, purpose: str, partition_by: str | None = None):
         w = w.partitionBy(partition_by)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
-
-
-def spread_if_narrow(df):
-    """Round-robin ``df`` over the cluster when its source gives fewer splits
-    than there are cores (e.g. one small single-row-group file); wide inputs,
-    the normal case at scale, are left alone and never shuffled."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

@@ -1,46 +1,84 @@
 """Reservation export files (Shift_JIS CSV with a header row).
 
-One distributed scan for all stores' files. Columns are bound by header
-name, never by position; every present cell is a string ('' when empty).
-A file with a ragged line (a line with more or fewer fields than the
-header) is rejected as a whole, like a parser error rejects the store's
-file: the bad files are found with one aggregation over the corrupt-record
-column and removed with an anti join, no driver loop.
+All stores' files are read together, each bound by its *own* header: columns
+may stand in any order, be missing or be unknown, per file. Two passes over
+the lines, both split freely (no file is one task's work):
+
+1. per file: its header line, the places of the wanted columns in it, and
+   whether every line has as many fields as the header (one small row per
+   file, written under the checkpoint folder);
+2. the lines of the good files, each field picked by the place its own
+   file's header gives it.
+
+Quoting: a field in double quotes may hold commas and doubled quotes; a
+backslash is an ordinary character (it is the second byte of many Shift_JIS
+characters and the yen sign). Blanks around unquoted fields go. A record
+spans one line: a quoted line break makes its file ragged.
+
+A file with a ragged line is rejected as a whole and alone. Blank lines are
+skipped; a data line equal to the header line counts as a header.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from bookflow.operators.joins import broadcast_if_small
 from bookflow.schema import CSV_ENCODING
-from bookflow.session import configure
+from bookflow.session import configure, materialize
 
-CORRUPT = "_corrupt_record"
 FILE = "_file_path"
-# A rejected-file list has one row per bad file; far below this bound.
-MAX_BAD_FILES = 1_000_000
+# A comma (one is put before the line) and what follows it up to the next one.
+_FIELD = r',[ \t]*+("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
-def _reader(spark: SparkSession, encoding: str):
-    return (
-        spark.read.format("csv")
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("inferSchema", False)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("multiLine", False)
+def _fields(line: Column) -> Column:
+    """The fields of one CSV line."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+    return F.transform(
+        found,
+        lambda x: F.when(
+            x.rlike('^".*"$') & (F.length(x) > 1), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+        ).otherwise(F.regexp_replace(x, r"[ \t]+$", "")),
     )
 
 
-def header_columns(spark: SparkSession, path: str, encoding: str = CSV_ENCODING) -> list[str]:
-    """Column names from the export header (reads the header line only)."""
-    configure(spark)
-    # Without partition inference, so folder levels are not taken for header names.
-    return _reader(spark, encoding).option("recursiveFileLookup", True).load(path).columns
+def _text_lines(spark: SparkSession, path: str, encoding: str) -> tuple[DataFrame, list[str]]:
+    """Non-blank decoded lines with file, split start and fields; and the folder columns."""
+    raw = spark.read.text(path)
+    folders = [c for c in raw.columns if c != "value"]
+    lines = raw.select(
+        F.regexp_replace(F.decode(F.col("value").cast("binary"), encoding), "^\ufeff", "").alias("_line"),
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias("_start"),
+        *[F.col(f"`{c}`").cast("string").alias(c) for c in folders],
+    )
+    return lines.filter(F.trim("_line") != "").withColumn("_fields", _fields(F.col("_line"))), folders
+
+
+def file_headers(spark: SparkSession, path: str, encoding: str = CSV_ENCODING) -> DataFrame:
+    """One row per file: folder columns, ``header_line``, ``header`` (names in
+    order) and ``bad_lines`` (lines whose field count differs from the
+    header's). Lines are counted per (file, field count) before the shuffle,
+    so a store with most of the lines ships a few rows per task."""
+    lines, folders = _text_lines(spark, path, encoding)
+    place = F.struct("_start", F.monotonically_increasing_id().alias("n"))  # a file's line order
+    shapes = (
+        lines.select(FILE, *folders, F.size("_fields").alias("width"), "_line", place.alias("place"))
+        .groupBy(FILE, *folders, "width")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "_line")).alias("first"))
+    )
+    files = shapes.groupBy(FILE, *folders).agg(
+        F.min(F.struct(F.col("first.place"), F.col("first._line").alias("line"), "n")).alias("head"),
+        F.sum("n").alias("total"),
+    )
+    return files.select(
+        FILE,
+        *folders,
+        F.col("head.line").alias("header_line"),
+        _fields(F.col("head.line")).alias("header"),
+        (F.col("total") - F.col("head.n")).alias("bad_lines"),
+    )
 
 
 def scan_exports(
@@ -48,50 +86,51 @@ def scan_exports(
 ) -> tuple[DataFrame, DataFrame]:
     """Read every export under ``path``; return (lines, rejected_files).
 
-    ``lines`` has the header's columns (all strings, '' for empty cells),
-    any partition columns of the directory layout (e.g. ``store_id``) and
+    ``lines`` has the named ``columns`` (default: every name some accepted
+    file's header has) as strings: '' for an empty cell, NULL where the
+    line's file has no such column (of a name that repeats in a header the
+    first counts); the folder columns (e.g. ``store_id``); and
     ``_file_path``. ``rejected_files`` has one row per rejected file with an
-    error text. All data columns are read so ragged lines are always seen.
+    error text. The per-file facts are written once here, so neither frame
+    repeats that pass.
     """
     configure(spark)
-    cols = columns or header_columns(spark, path, encoding)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols] +
-                          [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (
-        _reader(spark, encoding)
-        .schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", True)
-        .load(path)
+    files = materialize(file_headers(spark, path, encoding), "export-headers")
+    good = files.filter("bad_lines = 0")
+    lines, folders = _text_lines(spark, path, encoding)
+    if columns is None:
+        columns = sorted(r[0] for r in good.select(F.explode("header")).distinct().collect())
+    names = [c for c in columns if c and c not in folders]
+    places = good.select(
+        FILE, "header_line", *[F.array_position("header", c).alias(f"_p{i}") for i, c in enumerate(names)]
     )
-    extra = [c for c in raw.columns if c not in cols and c != CORRUPT]
-    lines = raw.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in cols],
-        *[F.col(c).cast("string").alias(c) for c in extra],
-        F.col(CORRUPT),
-        F.col("_metadata.file_path").alias(FILE),
+    bound = lines.join(places, FILE).filter(F.col("_line") != F.col("header_line"))
+    out = bound.select(
+        *[
+            F.when(F.col(f"_p{i}") > 0, F.get("_fields", (F.col(f"_p{i}") - 1).cast("int"))).alias(c)
+            for i, c in enumerate(names)
+        ],
+        *folders,
+        FILE,
     )
-    # Referencing the data columns keeps every field tokenised (and Spark
-    # refuses a query on the corrupt-record column alone).
-    all_fields = F.length(F.concat_ws("\u0001", *[F.col(f"`{c}`") for c in cols])) >= 0
-    rejected = (
-        lines.filter(F.col(CORRUPT).isNotNull() & all_fields)
-        .groupBy(FILE, *[c for c in extra])
-        .agg(F.count(F.lit(1)).alias("bad_lines"), F.min(CORRUPT).alias("first_bad_line"))
-        .withColumn("error", F.concat(F.lit("ragged CSV line(s): "), F.col("bad_lines").cast("string")))
+    rejected = files.filter("bad_lines > 0").select(
+        FILE,
+        *folders,
+        "bad_lines",
+        F.concat(F.lit("ragged CSV line(s): "), F.col("bad_lines").cast("string")).alias("error"),
     )
-    good = lines.join(broadcast_if_small(rejected.select(FILE), MAX_BAD_FILES), FILE, "left_anti").drop(CORRUPT)
-    return good, rejected
+    return out, rejected
 
 
 def write_exports(df: DataFrame, path: str, encoding: str = CSV_ENCODING, partition_by: str = "store_id") -> None:
-    """Write lines as export files (header, given encoding), one folder per store."""
+    """Append lines as export files (header, given encoding), one folder per
+    store; frames with different columns may be written to one path."""
     (
         df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
+        .write.mode("append")
         .partitionBy(partition_by)
         .option("header", True)
         .option("encoding", encoding)
+        .option("escape", '"')
         .csv(path)
     )

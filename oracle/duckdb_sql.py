@@ -15,8 +15,8 @@ stores_raw AS (
          n_name AS store_name,
          CASE WHEN n_nationkey = 7 THEN '' ELSE 'user' END AS rb_username,
          CASE WHEN n_nationkey = 8 THEN '' ELSE 'x' END AS rb_password,
-         CASE WHEN n_nationkey % 3 = 0 THEN '' WHEN n_nationkey % 3 = 1 THEN '300' ELSE '0' END AS days_back,
-         CASE WHEN n_nationkey % 4 = 0 THEN '1996-01-01' ELSE '' END AS from_date,
+         CASE WHEN n_nationkey = 22 THEN '99999999999' WHEN n_nationkey % 3 = 0 THEN '' WHEN n_nationkey % 3 = 1 THEN '300' ELSE '0' END AS days_back,
+         CASE WHEN n_nationkey = 16 THEN '1996/01/01' WHEN n_nationkey % 4 = 0 THEN '1996-01-01' ELSE '' END AS from_date,
          CASE WHEN n_nationkey % 8 = 0 THEN '1998-12-31' ELSE '' END AS to_date,
          '' AS note
   FROM nation
@@ -25,7 +25,7 @@ stores_raw AS (
 ACTIVE_STORES = """
 active_stores AS (
   SELECT store_id, store_name,
-         CAST(COALESCE(NULLIF(TRY_CAST(NULLIF(regexp_extract(days_back, '^\\s*([+-]?[0-9]+)', 1), '') AS BIGINT), 0), 7)
+         CAST(COALESCE(NULLIF(TRY_CAST(NULLIF(regexp_extract(days_back, '^\\s*([+-]?[0-9]+)', 1), '') AS INTEGER), 0), 7)
               AS INTEGER) AS days_back,
          from_date, to_date, note
   FROM stores_raw
@@ -199,6 +199,13 @@ def run_a_ctes(extended: bool = False) -> list[str]:
     ]
 
 
+def full_run_ctes(extended: bool = False) -> list[str]:
+    return base_ctes() + [
+        typed_cte("typed_a", "res_raw", extended),
+        normalized_cte("norm_a", "typed_a", RUN_A[0], RUN_A[1], extended),
+    ]
+
+
 def scenario_ctes() -> list[str]:
     return run_a_ctes() + [
         typed_cte("typed_b", "(SELECT * FROM res_raw WHERE src_key % 3 <> 2)", adjust_b=True),
@@ -280,7 +287,7 @@ SELECT COALESCE(NULLIF(store_id, ''), 'unknown') AS store_id,
 FROM stores_raw"""
     q["store_windows"] = with_(STORES_RAW, ACTIVE_STORES) + """
 SELECT store_id,
-       CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(from_date AS DATE)
+       CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(replace(from_date, '/', '-') AS DATE)
             ELSE CAST(DATE '1998-08-02' - (days_back + 1) AS DATE) END AS window_from,
        CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(to_date AS DATE)
             ELSE CAST(DATE '1998-08-02' - 1 AS DATE) END AS window_to
@@ -306,17 +313,17 @@ FROM res_raw"""
 SELECT DISTINCT status_raw, {_std('status_raw', STATUSES[False])} AS status,
        {_std('status_raw', STATUSES[True])} AS status_extended
 FROM res_raw"""
-    run_a = with_(*run_a_ctes())
+    run_a = with_(*full_run_ctes())
     q["record_keys"] = run_a + " SELECT src_key, store_id, record_key FROM norm_a"
     q["record_hashes"] = run_a + " SELECT src_key, record_hash FROM norm_a"
     q["normalize"] = run_a + f" SELECT {COLS15}, reject_reason FROM norm_a"
-    q["normalize_extended"] = with_(*run_a_ctes(extended=True)) + f" SELECT {COLS15}, reject_reason FROM norm_a"
+    q["normalize_extended"] = with_(*full_run_ctes(extended=True)) + f" SELECT {COLS15}, reject_reason FROM norm_a"
     q["valid_rows"] = run_a + f" SELECT {COLS15} FROM norm_a WHERE reject_reason = ''"
     q["rejected_rows"] = run_a + f" SELECT {COLS15}, reject_reason FROM norm_a WHERE reject_reason <> ''"
     q["windowed_reservations"] = run_a + f"""
 , win AS (
   SELECT store_id,
-         CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(from_date AS DATE)
+         CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(replace(from_date, '/', '-') AS DATE)
               ELSE CAST(DATE '1998-08-02' - (days_back + 1) AS DATE) END AS wf,
          CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(to_date AS DATE)
               ELSE CAST(DATE '1998-08-02' - 1 AS DATE) END AS wt
@@ -360,10 +367,14 @@ WHERE reserve_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' AND channel =
 SELECT {REPORT_BASIC_COLS} FROM merged
 WHERE reserve_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
 {ORDER_REPORT} LIMIT 10000"""
-    q["param_query"] = scen + f"""
+    q["report_limited"] = scen + f"""
 SELECT {REPORT_COLS} FROM merged
-WHERE reserve_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' AND store_id = 'store001' AND status = 'confirmed'
-{ORDER_REPORT} LIMIT 10000"""
+WHERE reserve_date BETWEEN DATE '1992-01-01' AND DATE '2001-12-31'
+{ORDER_REPORT} LIMIT 500"""
+    q["param_query"] = scen + """
+SELECT reserve_date, channel, COUNT(*) AS parties, CAST(SUM(headcount) AS BIGINT) AS guests FROM merged
+WHERE store_id = 'store001' AND reserve_date >= DATE '1997-01-01' AND headcount >= 4
+GROUP BY reserve_date, channel"""
     q["landing_manifest"] = scen + """
 SELECT store_id, run_id, COUNT(*) AS record_count, MIN(ingestion_ts) AS upload_ts, 'restaurant_board' AS vendor,
        'landing/restaurant_board/' || strftime(MIN(ingestion_ts) + INTERVAL 9 HOUR, '%Y/%m/%d') || '/run_' || run_id
@@ -392,7 +403,34 @@ FROM active_stores s LEFT JOIN cnt c ON s.store_id = c.store_id"""
         "SELECT s.store_id, s.store_name,",
         "SELECT status, COUNT(*) AS stores, CAST(SUM(records) AS BIGINT) AS total_records FROM (\n"
         "SELECT s.store_id, s.store_name,", 1) + "\n) GROUP BY status"
-    q["csv_scan"] = q["map_columns"]
+    q["csv_scan"] = base + """
+SELECT store_id, src_key, reservation_id, NULL::VARCHAR AS store_name_rb, reserve_date_raw, booking_date_raw,
+       start_time_raw, CASE WHEN CAST(substr(store_id, 6) AS INTEGER) % 3 <> 2 THEN end_time_raw END AS end_time_raw,
+       course_name || CASE src_key % 4 WHEN 1 THEN '"特別", A' WHEN 2 THEN '表' ELSE '' END AS course_name,
+       headcount_raw, channel_raw, status_raw
+FROM res_raw"""
+    landed = scen + """
+SELECT strftime(MIN(ingestion_ts) + INTERVAL 9 HOUR, '%Y-%m-%d') AS ingest_date, run_id, store_id,
+       COUNT(*) AS record_count, MIN(ingestion_ts) AS upload_ts, 'restaurant_board' AS vendor,
+       'scheduled' AS upload_type
+FROM stage GROUP BY run_id, store_id"""
+    q["landing_inventory"] = landed
+    q["landing_top_n"] = landed + " ORDER BY ingest_date, run_id, store_id LIMIT 7"
+    q["merge_apply_kpi"] = q["daily_kpi"]
+    q["manual_load"] = q["valid_rows"].replace(f"'{RUN_A[0]}'", "'manual_19980801_120000'", 1)
+    q["daily_run_windowed"] = run_a + """
+, win AS (
+  SELECT store_id,
+         CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(replace(from_date, '/', '-') AS DATE)
+              ELSE CAST(DATE '1998-08-02' - (days_back + 1) AS DATE) END AS wf,
+         CASE WHEN from_date <> '' AND to_date <> '' THEN TRY_CAST(to_date AS DATE)
+              ELSE CAST(DATE '1998-08-02' - 1 AS DATE) END AS wt
+  FROM active_stores)
+SELECT n.store_id, COUNT(*) AS parsed_rows,
+       COUNT(*) FILTER (WHERE reject_reason = '' AND reserve_date BETWEEN wf AND wt) AS valid_rows,
+       COUNT(*) FILTER (WHERE reject_reason <> '') AS rejected_rows,
+       COUNT(*) FILTER (WHERE reject_reason = '' AND NOT (reserve_date BETWEEN wf AND wt)) AS outside_rows
+FROM norm_a n JOIN win w ON n.store_id = w.store_id GROUP BY n.store_id"""
     q["landing_roundtrip"] = q["valid_rows"]
     q["stream_stage"] = q["stage_union"]
     return q

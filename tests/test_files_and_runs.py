@@ -33,6 +33,40 @@ def test_shift_jis_scan_rejects_ragged_file(spark, tmp_root):
     assert len(bad_rows) == 1 and bad_rows[0]["store_id"] == "002" and bad_rows[0]["bad_lines"] == 1
 
 
+def test_each_file_is_bound_by_its_own_header(spark, tmp_root):
+    _write(f"{tmp_root}/store_id=001/a.csv", f"{HEADER}\n1,2024-01-15,18:00,4名,食べログ,確定\n")
+    _write(f"{tmp_root}/store_id=002/b.csv", "開始時間,予約日,予約番号,備考,経路\r\n19:00,2024-02-20,2,\"a, \"\"b\"\"\",表\r\n")
+    _write(f"{tmp_root}/store_id=003/c.csv", f"{HEADER}\n3,2024-01-15,18:00,4,\"表\",\"\"\n,,,,,\n")
+    _write(f"{tmp_root}/store_id=004/d.csv", f"{HEADER}\n4,2024-01-15\n")
+    _write(f"{tmp_root}/store_id=005/e.csv", "")
+    lines, bad = scan_exports(spark, tmp_root)
+    got = {(r["store_id"], r["予約番号"]): r for r in lines.collect()}
+    assert sorted(got) == [("001", "1"), ("002", "2"), ("003", ""), ("003", "3")]
+    two = got["002", "2"]
+    assert (two["予約日"], two["開始時間"], two["備考"], two["経路"]) == ("2024-02-20", "19:00", 'a, "b"', "表")
+    assert two["人数"] is None and got["001", "1"]["備考"] is None  # absent, not empty
+    assert got["003", "3"]["経路"] == "表" and got["003", "3"]["ステータス"] == "" == got["003", ""]["予約日"]
+    assert [r["store_id"] for r in bad.collect()] == ["004"]
+    some, _ = scan_exports(spark, tmp_root, columns=["予約日", "店舗名"])
+    assert some.columns == ["予約日", "店舗名", "store_id", "_file_path"] and some.count() == 4
+
+
+def test_unreadable_and_slashed_windows(spark):
+    from bookflow.operators.runs import run_summary
+
+    active = spark.createDataFrame(
+        [("s1", "A", 7, "2024/01/01", "2024-01-31"), ("s2", "B", 7, "soon", "2024-01-31"), ("s3", "C", 2147483647, "", "")],
+        "store_id string, store_name string, days_back int, from_date string, to_date string")
+    w = store_windows(active, "2024-03-10")
+    got = {r["store_id"]: (str(r["window_from"]), str(r["window_to"])) for r in w.select(
+        "store_id", *(F.col(c).cast("string").alias(c) for c in ("window_from", "window_to"))).collect()}
+    assert got["s1"] == ("2024-01-01", "2024-01-31") and got["s2"][0] == "None" and got["s3"][1] == "2024-03-09"
+    norm = spark.createDataFrame([("s1", "", True), ("s1", "", False), ("s2", "", False)],
+                                 "store_id string, reject_reason string, in_window boolean")
+    s = {r["store_id"]: (r["status"], r["records"], r["error"]) for r in run_summary(active, norm, windows=w).collect()}
+    assert s == {"s1": ("success", 1, None), "s2": ("failed", 0, "unreadable from_date or to_date"), "s3": ("skipped", 0, None)}
+
+
 def test_store_master_and_windows(spark):
     raw = spark.createDataFrame(
         [(" TRUE", "s1", "A", "u", "p", "3", "", ""), ("true", "s2", "B", "u", "p", "", "2024-01-01", "2024-01-31"),
@@ -68,7 +102,10 @@ def test_daily_run_end_to_end(spark, tmp_root):
     assert quarantine.filter(F.col("reject_reason") == "").count() == 0
     inv = L.inventory(spark, f"{tmp_root}/landing", max_results=None)
     assert inv.select("store_id").distinct().count() == sum(1 for r in summary.values() if r["status"] == "success")
-    assert inv.agg(F.sum("record_count")).first()[0] >= loaded
+    assert inv.agg(F.sum("record_count")).first()[0] == loaded
+    assert res.summary.filter("status = 'success'").count() == inv.count()
+    paths = {r[0] for r in spark.read.parquet(f"{tmp_root}/landing/{L.MANIFEST}").select("object_path").collect()}
+    assert len(paths) == inv.count() and all(os.path.isdir(p) for p in paths)
     prof = L.table_profile(spark, "bf_test_daily.reservations").first()
     assert prof["num_rows"] == spark.table("bf_test_daily.reservations").count() and prof["num_files"] > 0
     # the same files again: nothing new, nothing changed
@@ -92,10 +129,31 @@ def test_manual_backfill_from_landing(spark, tmp_root):
     assert out["load"]["output_rows"] == n and out["load"]["input_files"] > 0 and out["load"]["input_file_bytes"] > 0
     dedup_n = rows.select("record_key").distinct().count()
     assert out["merge"] == {"inserted_rows": dedup_n, "updated_rows": 0, "unchanged_rows": 0}
+    kpi = spark.table("bf_test_manual.daily_kpi")
+    assert kpi.agg(F.sum("reservation_count")).first()[0] == dedup_n
     man = spark.read.parquet(f"{tmp_root}/landing/{L.MANIFEST}")
     assert man.filter("upload_type = 'manual'").count() == man.count() > 0
 
 
+def test_manual_backfill_quarantines_bad_rows(spark, tmp_root):
+    from bookflow.operators.normalize import valid_rows
+    from bookflow.plans import scenario as S
+    from bookflow.plans.daily_run import manual_backfill
+
+    rows = valid_rows(S.normalized_run_a(spark, SF_SMALL)).limit(5).collect()
+    columns = rows[0].asDict().keys()
+    cells = [[None if v is None else v.isoformat() if hasattr(v, "isoformat") else str(v) for v in r] for r in rows]
+    at = {c: i for i, c in enumerate(columns)}
+    cells[0][at["reserve_date"]], cells[1][at["reserve_date"]] = "2024-02-31", None
+    cells[2][at["record_key"]], cells[3][at["ingestion_ts"]] = None, "yesterday"
+    text = spark.createDataFrame(cells, ", ".join(f"{c} string" for c in columns))
+    text.write.option("header", True).option("quoteAll", True).csv(f"{tmp_root}/in")
+    out = manual_backfill(spark, f"{tmp_root}/in", "bf_test_bad", f"{tmp_root}/tables", "manual_1")
+    assert out["load"]["output_rows"] == 1 == out["merge"]["inserted_rows"]
+    reasons = sorted(r["reject_reason"] for r in spark.read.parquet(f"{tmp_root}/tables/quarantine").collect())
+    assert reasons == ["missing_ingestion_ts", "missing_record_key", "missing_reserve_date", "missing_reserve_date"]
+
+
 def test_run_summary_failed_and_strict(spark):
     from bookflow.operators.runs import run_summary, run_totals
 
@@ -125,4 +183,6 @@ def test_daily_run_dry_run_writes_nothing(spark, tmp_root):
     assert not spark.catalog.databaseExists("bf_test_dry")
     # with as_of, only rows inside each store's window remain
     assert res.valid.count() == res.summary.agg(F.sum("records")).first()[0] > 0
+    y = res.yields.agg(*(F.sum(c).alias(c) for c in ("parsed_rows", "valid_rows", "rejected_rows", "outside_rows"))).first()
+    assert y["parsed_rows"] == y["valid_rows"] + y["rejected_rows"] + y["outside_rows"] and y["rejected_rows"] > 0
     assert res.summary.count() == 18
