@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from bookflow.session import materialize
 
 #: A task works on so many text bytes at a time (one longer text is a slice of its own).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
