@@ -32,7 +32,7 @@ ANCHOR = 40
 #: The least hash and its place share 64 bits: so many for the place in a slice.
 _PLACE_BITS = np.uint64(28)
 #: Windows ordered at a time in step 3.
-_WINDOWS = 1 << 20
+_WINDOWS = 1 << 18
 _DIGITS = (8, 8, 16, 32)
 OUTPUT = ("n_bytes", "n_removed", "spans", "kept")
 
