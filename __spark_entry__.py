@@ -374,6 +374,25 @@ def q_landing_top_n(spark, d):
     return L.inventory(spark, root, 7).drop("modificationTime", "length", "path", "files")
 
 
+def q_landing_expired(spark, d):
+    """Objects uploaded over 30 days before run B's upload is 30 days old: those of run A."""
+    L, root = _landed(spark, d)
+    expired = L.expired_files(L.inventory(spark, root), "1998-08-31 16:15:00", by="upload_ts")
+    return expired.drop("modificationTime", "length", "path", "files")
+
+
+def q_manual_landing(spark, d):
+    """L4: run B's rows handed in as files beside run A's scheduled ones; the listing of the manual folder."""
+    from bookflow.plans import landing as L
+    from bookflow.session import scratch_path
+
+    s = S.build(spark, d)
+    root = scratch_path(spark, "landing")
+    L.write_landing(s.load_a, root)
+    L.write_manual(s.load_b, root)
+    return L.inventory(spark, root, folder=L.MANUAL).drop("modificationTime", "length", "path", "files")
+
+
 def q_kpi_view(spark, d):
     """The KPI view registered in the session and queried through SQL."""
     R.register_kpi_view(S.build(spark, d).merged(), "vw_daily_kpi")
@@ -451,6 +470,29 @@ def q_merge_apply_kpi(spark, d):
     return _in_tables(spark, "merge", lambda db, root: _two_merges(spark, d, db, root, True), "daily_kpi")
 
 
+def q_table_profile(spark, d):
+    """Both tables' profiles after two loads and a merge; creating them again changes nothing."""
+    from bookflow.plans import tables as TB
+    from bookflow.plans.landing import table_profile
+
+    got = []
+
+    def work(db, root):
+        s = S.build(spark, d)
+        TB.create_tables(spark, db, root)
+        TB.append_stage(spark, db, s.load_a)
+        TB.append_stage(spark, db, s.load_b)
+        TB.apply_merge(spark, db, s.target)
+        TB.create_tables(spark, db, root)
+        for t in (TB.STAGE, TB.PRODUCTION):
+            columns = len(spark.table(f"{db}.{t}").columns)
+            got.append(table_profile(spark, f"{db}.{t}").select(F.lit(t).alias("table_name"), "num_rows", F.lit(columns).alias("num_columns"),
+                                                                (F.col("num_bytes") > 0).alias("has_files")))
+
+    _in_tables(spark, "profile", work, "reservations")
+    return got[0].union(got[1])
+
+
 MANUAL_RUN = "manual_19980801_120000"
 
 
@@ -480,6 +522,9 @@ _QUERIES.update({
     "stream_stage": q_stream_stage,
     "landing_inventory": q_landing_inventory,
     "landing_top_n": q_landing_top_n,
+    "landing_expired": q_landing_expired,
+    "manual_landing": q_manual_landing,
+    "table_profile": q_table_profile,
     "daily_run_windowed": q_daily_run_windowed,
     "merge_apply": q_merge_apply,
     "merge_apply_kpi": q_merge_apply_kpi,

@@ -18,13 +18,15 @@ from bookflow.schema import LANDING_RETENTION_DAYS, RESERVATION_COLUMNS
 from bookflow.session import configure
 
 DATA = "data"
+# Files handed in by a user stand apart from those of the scheduled runs.
+MANUAL = "manual"
 MANIFEST = "manifest"
 # Folder levels; the files themselves keep all 15 record columns.
 PARTS = ["ingest_date", "run", "store"]
 
 
-def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled") -> None:
-    """L2 + L3 (+ L4 with ``upload_type='manual'``): append landing CSVs and manifest."""
+def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled", folder: str = DATA) -> None:
+    """L2 + L3: append landing CSVs under ``folder`` and their manifest."""
     root = root.rstrip("/")
     rows = valid.select(
         *RESERVATION_COLUMNS,
@@ -41,16 +43,21 @@ def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled") -
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
-        .csv(f"{root}/{DATA}")
+        .csv(f"{root}/{folder}")
     )
-    folder = F.concat(
-        F.lit(f"{root}/{DATA}/ingest_date="), F.date_format(local_ts("upload_ts"), "yyyy-MM-dd"),
+    path = F.concat(
+        F.lit(f"{root}/{folder}/ingest_date="), F.date_format(local_ts("upload_ts"), "yyyy-MM-dd"),
         F.lit("/run="), F.col("run_id"), F.lit("/store="), F.col("store_id"),
     )
-    manifest = landing_manifest(valid).withColumns({"object_path": folder, "upload_type": F.lit(upload_type)})
+    manifest = landing_manifest(valid).withColumns({"object_path": path, "upload_type": F.lit(upload_type)})
     manifest.write.mode("append").partitionBy("run_id").parquet(f"{root}/{MANIFEST}")
 
 
+def write_manual(valid: DataFrame, root: str) -> None:
+    """L4: files handed in by a user, under their own folder and marked so in the manifest."""
+    write_landing(valid, root, "manual", MANUAL)
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """Landing (or manual) CSVs back to the fixed record schema, bound by
     header name; ready for a stage append."""
@@ -60,8 +67,8 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return conform(raw.select([c for c in raw.columns if c not in PARTS]))
 
 
-def inventory(spark: SparkSession, root: str, max_results: int | None = None) -> DataFrame:
-    """C4 + O3: one row per landing object (a store's folder of one run and
+def inventory(spark: SparkSession, root: str, max_results: int | None = None, folder: str = DATA) -> DataFrame:
+    """C4 + O3: one row per landing object under ``folder`` (a store's folder of one run and
     date): part files, bytes and last modification from a listing, record
     count and upload time from the manifest; all of them, or the first
     ``max_results`` by path. File contents are never read."""
@@ -70,7 +77,7 @@ def inventory(spark: SparkSession, root: str, max_results: int | None = None) ->
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
-        .load(f"{root}/{DATA}")
+        .load(f"{root}/{folder}")
         .select("path", "length", "modificationTime", *PARTS)
         .withColumnsRenamed({"run": "run_id", "store": "store_id"})
         .groupBy("ingest_date", "run_id", "store_id")
@@ -84,6 +91,7 @@ def inventory(spark: SparkSession, root: str, max_results: int | None = None) ->
     # A run that was landed in several writes has several manifest rows.
     man = (
         spark.read.parquet(f"{root}/{MANIFEST}")
+        .filter(F.col("object_path").startswith(f"{root}/{folder}/"))
         .withColumn("ingest_date", F.date_format(local_ts("upload_ts"), "yyyy-MM-dd"))
         .groupBy("ingest_date", "run_id", "store_id")
         .agg(
@@ -97,10 +105,10 @@ def inventory(spark: SparkSession, root: str, max_results: int | None = None) ->
     return out.limit(max_results) if max_results else out
 
 
-def expired_files(inv: DataFrame, as_of_ts, days: int = LANDING_RETENTION_DAYS) -> DataFrame:
-    """Landing objects last modified before ``as_of_ts - days``."""
+def expired_files(inv: DataFrame, as_of_ts, days: int = LANDING_RETENTION_DAYS, by: str = "modificationTime") -> DataFrame:
+    """Landing objects last modified (or, by ``upload_ts``, first uploaded) before ``as_of_ts - days``."""
     cutoff = F.lit(str(as_of_ts)).cast("timestamp") - F.make_interval(days=F.lit(days))
-    return inv.filter(F.col("modificationTime") < cutoff)
+    return inv.filter(F.col(by) < cutoff)
 
 
 def table_profile(spark: SparkSession, table: str) -> DataFrame:

@@ -416,6 +416,11 @@ SELECT strftime(MIN(ingestion_ts) + INTERVAL 9 HOUR, '%Y-%m-%d') AS ingest_date,
 FROM stage GROUP BY run_id, store_id"""
     q["landing_inventory"] = landed
     q["landing_top_n"] = landed + " ORDER BY ingest_date, run_id, store_id LIMIT 7"
+    q["landing_expired"] = f"SELECT * FROM ({landed}) WHERE upload_ts < TIMESTAMP '1998-08-31 16:15:00' - INTERVAL 30 DAY"
+    q["manual_landing"] = f"SELECT * REPLACE ('manual' AS upload_type) FROM ({landed}) WHERE run_id = '{RUN_B[0]}'"
+    q["table_profile"] = scen + """
+SELECT 'stage_reservations' AS table_name, COUNT(*) AS num_rows, 16 AS num_columns, COUNT(*) > 0 AS has_files FROM stage
+UNION ALL SELECT 'reservations', COUNT(*), 15, COUNT(*) > 0 FROM tgt"""
     q["merge_apply_kpi"] = q["daily_kpi"]
     q["manual_load"] = q["valid_rows"].replace(f"'{RUN_A[0]}'", "'manual_19980801_120000'", 1)
     q["daily_run_windowed"] = run_a + """
