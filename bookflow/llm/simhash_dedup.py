@@ -141,7 +141,7 @@ def _list_links(max_bits: int):
 
 
 def _fingerprint_rows(shingle: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int32()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64())])
 
     def rows(batches):
         for batch, data, off in text_slices(batches):
@@ -152,11 +152,12 @@ def _fingerprint_rows(shingle: int):
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, longest: int = LIST) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text, any others): doc_id, mark (a hash of the text, to join repeated ids
-    by), fp (the fingerprint as a long), component_id (the least doc_id reachable by links, itself included)."""
+    by), fp (the fingerprint as a long), component_id (the least doc_id reachable by links, itself included), component
+(the component's own key: component_id is null where all ids are, and repeats where an id does)."""
     if not 0 <= max_bits <= 4:
         raise ValueError("the index guarantees all links up to 4 differing bits")
-    marked = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("mark"), "text")
-    prints = materialize(marked.mapInArrow(_fingerprint_rows(shingle), "doc_id long, mark int, fp long"), "fingerprints")
+    marked = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    prints = materialize(marked.mapInArrow(_fingerprint_rows(shingle), "doc_id long, mark long, fp long"), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
 
     def byte(i):
@@ -178,17 +179,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     root = components(materialize(links, "simhash_links"), "simhash_components")
     rooted = distinct.join(root, distinct.fp == root.id, "left").select("fp", "least", F.coalesce("root", F.xxhash64("fp")).alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(component, "fp").select("doc_id", "mark", "fp", "component_id")
+    component = rooted.join(least, "root").select("fp", "component_id", F.col("root").alias("component"))
+    return prints.join(component, "fp").select("doc_id", "mark", "fp", "component_id", "component")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` without near-duplicates: of each component the row of its least doc_id stays (one, if that repeats;
     a component whose ids are all null keeps one row)."""
     found = near_duplicates(docs, shingle, max_bits)
-    stay = (found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("_stay_id"), F.col("mark").alias("_stay_mark"))).alias("s"))
+    stay = (found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("_stay_id"), F.col("mark").alias("_stay_mark"))).alias("s"))
             .select("s._stay_id", "s._stay_mark"))
-    mark = F.hash(F.col("text"))
+    mark = F.xxhash64(F.col("text"))
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"), mark.alias("mark"))
     kept = own.join(stay, own.id.eqNullSafe(stay._stay_id) & (own.mark == stay._stay_mark), "left_semi")
     return kept.dropDuplicates(["id", "mark"]).select("row.*")

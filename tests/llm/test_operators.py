@@ -71,6 +71,13 @@ def test_simhash_components(spark, longest):
     assert simhash_dedup.one_of_each(df).count() == len(least)
 
 
+def test_simhash_keeps_one_row_of_each_component(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(50)) for c in "abcdef"]
+    rows = [(None, t) for t in texts[:3]] + [(None, texts[0]), (5, texts[3]), (5, texts[4]), (7, texts[3]), (8, texts[4]), (5, texts[4]), (9, texts[5]), (None, texts[5])]
+    got = simhash_dedup.one_of_each(spark.createDataFrame(rows, TEXT)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([*((None, t) for t in texts[:3]), (5, texts[3]), (5, texts[4]), (9, texts[5])])
+
+
 def test_triples_cover_any_four_positions():
     assert len(simhash_dedup.triples()) == 20
     assert all(any(set(t) <= set(q) for t in simhash_dedup.triples()) for q in combinations(range(8), 4))
