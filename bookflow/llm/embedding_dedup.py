@@ -11,9 +11,12 @@
 5. Every vertex searches the united graph within each of its shards from the medoid and itself; within the range every
    vertex found is expanded until nothing new is in range. Pairs in range are verified by their cosine in double
    precision, counted in the least cluster that both are in, and joined into components in the shard; pairs never
-   leave it.
-6. Recall is audited: ``AUDIT`` vectors (by hash) are compared with all vectors; below ``target`` the clusters overlap
-   more and the search widens.
+   leave it. Each shard compares the pairs that it counts with one another too (a shard is bounded), so a pair that
+   its search missed is counted, whether another cluster's search found it or not.
+6. Recall is audited: a sample (by hash, growing with the root of the table) is compared with all vectors; recall is the
+   mean over vectors of the part of their links found, apart for vectors with few and with many links, and the least of
+   these counts. Below ``target`` the clusters overlap twice as much, until at last there is one cluster, whose pairs
+   of blocks hold every pair there is. If even that is under the target, the query fails.
 
 Every row of the input has a row in the result, also unusable ones and repeated ids; an empty table gives an empty
 result.
@@ -39,7 +42,12 @@ OVERLAP = 3
 DEGREE = 24
 BEAM = 32
 ALPHA = 1.2
+#: Vectors audited: at least so many, and so many times the root of all; more until so many of them have links.
 AUDIT = 256
+AUDIT_ROOT = 4
+LINKED = 16
+#: Audited vectors compared in one pass.
+_AUDITED = 4096
 TARGET = 0.99
 _BATCH = 256
 
@@ -247,6 +255,10 @@ def _search(cosine: float, beam: int):
         for i, o in enumerate(near):
             graph.out[i, :len(o)] = o
         found = range_links(graph, x, cosine, beam)
+        for i in range(0, len(k), _BATCH):  # what the search missed
+            found[i:i + _BATCH] |= x[i:i + _BATCH] @ x.T >= cosine
+        found |= found.T
+        np.fill_diagonal(found, False)
         # a pair counts in the least cluster it has in common, and in its blocks' shard only
         here, pair = int(pdf["cluster"][0]), pdf["lo"][0] != pdf["hi"][0]
         block = pdf["block"].to_numpy()
@@ -290,22 +302,35 @@ def _true_links(sample: np.ndarray, cosine: float):
 
 
 def audit_recall(vertices: DataFrame, links: DataFrame, cosine: float = COSINE, sample: int = AUDIT) -> float:
-    """Links found over links there are, for ``sample`` vertices by hash against all."""
-    some = vertices.orderBy("k").limit(sample).join(links, "k", "left").select("k", "vector", "weight", F.coalesce("links", F.lit(0)).alias("links")).toPandas()
-    if some.empty:
-        return 1.0
-    found = there = 0
-    for d, part in some.groupby(some["vector"].map(len)):
-        x = _matrix(part["vector"])
-        true = vertices.select("vector", "weight").mapInArrow(_true_links(x, cosine), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
-        true = true.set_index("i")["n"].reindex(range(len(part))).to_numpy() - part["weight"].to_numpy()
-        found, there = found + np.minimum(part["links"].to_numpy(), true).sum(), there + true.sum()
-    return found / there if there else 1.0
+    """The part of its links found, as a mean over vectors with links: of vectors with like numbers of links the least
+    mean. ``sample`` vertices by hash or more are held against all, until ``LINKED`` have links or there are no more."""
+    ordered = vertices.join(links, "k", "left").select("k", "vector", "weight", F.coalesce("links", F.lit(0)).alias("links"))
+    parts, last, done = [], None, 0
+    while done < sample or sum(len(p) for p in parts) < LINKED:
+        rest = ordered if last is None else ordered.filter(F.col("k") > last)
+        some = rest.orderBy("k").limit(min(_AUDITED, sample - done if done < sample else 3 * done)).toPandas()
+        if some.empty:
+            break
+        last, done = int(some["k"].iloc[-1]), done + len(some)
+        for _, part in some.groupby(some["vector"].map(len)):
+            x = _matrix(part["vector"])
+            true = vertices.select("vector", "weight").mapInArrow(_true_links(x, cosine), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
+            true = true.set_index("i")["n"].reindex(range(len(part))).to_numpy() - part["weight"].to_numpy()
+            linked = true > 0
+            parts.append(pd.DataFrame({"many": np.log2(true[linked]) // 4, "part": np.minimum(part["links"].to_numpy()[linked] / true[linked], 1)}))
+    every = pd.concat(parts) if parts else pd.DataFrame({"many": [], "part": []})
+    return float(every.groupby("many")["part"].mean().min()) if len(every) else 1.0
+
+
+def _clusters(n: int, overlap: int, shard: int) -> int:
+    """One if vectors would be in all of them anyway."""
+    clusters = max(1, min(CENTROIDS, math.ceil(n * overlap / shard)))
+    return clusters if overlap < clusters else 1
 
 
 def _links(vertices: DataFrame, n: int, cosine: float, overlap: int, beam: int, shard: int) -> DataFrame:
     """(k, links, root) per vertex and shard."""
-    clusters = max(1, min(CENTROIDS, math.ceil(n * overlap / shard)))
+    clusters = _clusters(n, overlap, shard)
     sample = vertices.select("k", "vector").orderBy("k").limit(min(SAMPLE, 32 * clusters)).select("vector").toPandas()["vector"] if clusters > 1 else []
     centres = {}
     for d in {len(v) for v in sample}:
@@ -332,15 +357,16 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, overlap: int
                        .withColumn("k", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))), "embeddings")
     vertices = materialize(rows.filter("k is not null").groupBy("k", "vector").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least")), "embedding_vertices")
     n = vertices.count()
-    found = None
-    for _ in range(3):
+    while True:
         found = _links(vertices.select("k", "vector", "weight"), n, cosine, overlap, beam, shard)
         links = found.groupBy("k").agg(F.sum("links").alias("links"))
-        recall = audit_recall(vertices.select("k", "vector", "weight"), links, cosine)
+        recall = audit_recall(vertices.select("k", "vector", "weight"), links, cosine, max(AUDIT, math.ceil(AUDIT_ROOT * math.sqrt(n))))
         logging.getLogger(__name__).info("recall %.4f with overlap %d and beam %d", recall, overlap, beam)
         if recall >= target:
             break
-        overlap, beam = overlap + 2, beam * 2
+        if overlap >= CENTROIDS:
+            raise RuntimeError(f"recall {recall:.4f} is under {target} with all vectors in one cluster")
+        overlap = overlap * 2 if _clusters(n, overlap * 2, shard) > 1 else CENTROIDS
     root = components(found.filter("k <> root").selectExpr("k a", "root b"), "embedding_components")
     rooted = vertices.select("k", "weight", "least").join(root, vertices.k == root.id, "left").select("k", "weight", "least", F.coalesce("root", F.xxhash64("k")).alias("root"))
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -147,6 +147,28 @@ def test_embeddings_against_all_pairs(spark):
     assert all(got[v].n_links == 0 and got[v].kept for v in (2000, 2001, 2002, 2003, 2006))
 
 
+def test_embedding_recall_is_per_vector(spark):
+    rng = np.random.default_rng(1)
+    dense = np.ones(40) + rng.normal(size=(100, 40)) * 0.01
+    lone = np.repeat(rng.normal(size=(50, 40)), 2, axis=0) + rng.normal(size=(100, 40)) * 0.01
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate((dense, lone)))]
+    vertices = spark.createDataFrame(rows, "k long, vector array<double>, weight long")
+    links = spark.createDataFrame([(i, 99 if i < 100 else i % 2) for i in range(200)], "k long, links long")
+    assert embedding_dedup.audit_recall(vertices, links) <= 0.51
+
+
+def test_embedding_search_widens_to_the_target_or_fails(spark, monkeypatch):
+    x = np.random.default_rng(2).normal(size=(300, 5))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, overlap=1, shard=60, target=1.0).collect()}
+    assert [got[i] for i in range(300)] == want.tolist()
+    monkeypatch.setattr(embedding_dedup, "audit_recall", lambda *a: 0.5)
+    with pytest.raises(RuntimeError):
+        embedding_dedup.near_duplicates(df.limit(20), target=1.0)
+
+
 def test_grammar_round_trip_of_control_strings():
     rnd = random.Random(0)
     signs = ["###", " ", "</turn>", "\\", "\n", "a", "### User: ", " </turn>\n", ":", "=", "<"]
