@@ -4,12 +4,13 @@ The DOMs of a host's pages are merged into one tree: its nodes are the paths of
 words, inline elements see through). For every node the pages that have it differ in presentation (the sequence of
 child elements) and in content (the text directly in it); the entropy of each over these pages, 0 when all agree and 1
 when all differ, gives the node's importance: 1 - (1 - presentation) x (1 - content). Branches of low importance are
-removed from each page of the host. Pages with the same article count once, so copies of a page don't make its article
-look like boilerplate, and a host needs ``LEAST`` different pages before its tree removes anything.
+removed from each page of the host. Pages with the same text count once, so copies of a page don't make its text look
+like boilerplate, and a host needs ``LEAST`` different pages before its tree removes anything.
 
 Elements that are presentation by what they are (scripts, styles, menus, footers, forms, and those whose class, id or
-role says advert, sidebar, notice, comments, ...) have no importance anywhere, whatever the host. If a page has
-articles (else a main element), what stands outside them goes, too.
+role says advert, sidebar, notice, comments, ...) have no importance anywhere, whatever the host: comments and related links
+differ from page to page as articles do, so entropy can't tell them. What stands outside articles or a main element is
+judged like all else.
 
 The tree is statistics only: counts are summed per host, node and value before they meet, so a host with a third of
 all pages is no task's burden. Null html is empty; a null URL's host is the empty one; unclosed and misplaced tags are
@@ -154,12 +155,8 @@ class Page:
         flush()
 
     def main(self) -> list[tuple[_Node, str]]:
-        """The blocks that can be main text: in articles if there are any, else in a main element, else on the page."""
-        for inside in (lambda n: n.article, lambda n: n.main, lambda n: True):
-            found = [(n, t) for n, t in self.blocks if not n.noise and inside(n)]
-            if found:
-                return found
-        return []
+        """The blocks that can be main text, inside an article or main element or not."""
+        return [(n, t) for n, t in self.blocks if not n.noise]
 
 
 def _hash(text: str) -> int:
@@ -167,7 +164,7 @@ def _hash(text: str) -> int:
 
 
 def _node_rows(batches):
-    """Per page: its article's hash, and per path the hashes of presentation and content."""
+    """Per page: its text's hash, and per path the hashes of presentation and content."""
     value = pa.struct([("path", pa.int64()), ("style", pa.int64()), ("content", pa.int64())])
     for batch in batches:
         hosts, articles, nodes = [], [], []

@@ -193,6 +193,13 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert {r.text for r in got} == {f"article number {i}" for i in range(12)}
 
 
+def test_html_extraction_keeps_text_outside_articles(spark):
+    page = "<h1>head {0}</h1><main><div class=content><p>body {0}</p></div></main><article>one teaser</article><div class=x>the same everywhere</div>"
+    rows = [(i, "http://h.net/", page.format(i)) for i in range(12)] + [(20, "http://few.net/", "<div class=content>body</div><article>teaser</article>")]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"head {i} body {i}" for i in range(12)}, 20: "body teaser"}
+
+
 def test_url_rules_and_mined_rules(spark):
     urls = ["http://A.Example.net/en/x", "https://b.net/q", "http://example.com/de/1", "http://x.org/fr/?a", "http://a.net", None, "no scheme", "http://badnet/en/"]
     pages = [(i, u) for i, u in enumerate(urls)] + [(100 + i, f"http://casino{'' if i % 2 else 'x'}.info/{i}") for i in range(40)]
