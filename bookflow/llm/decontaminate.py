@@ -10,8 +10,8 @@ their first. Ranges that are left are located by walking back to the next sample
 The benchmark comes in blocks of at most ``block_bytes`` of text, each broadcast by itself; every block passes over
 all texts (map only, no shuffle). Words are compared by 64-bit hash and length.
 
-Null text has no words; items without words have no phrase; repeated items count by their ids, once each; an empty
-benchmark leaves all texts clean; input columns with the names of output columns are replaced.
+Null text has no words; items without words have no phrase; repeated items count by their ids, once each; items without
+an id are searched like any other and count as one item, a null at the end of ``items``; an empty benchmark leaves all texts clean; input columns with the names of output columns are replaced.
 """
 
 from __future__ import annotations
@@ -122,7 +122,7 @@ class FMIndex:
 class Phrases:
     """The distinct phrases of some items over their vocabulary, and the items of each."""
 
-    def __init__(self, ids: np.ndarray, texts: pa.Array, window: int):
+    def __init__(self, ids: pa.Array, texts: pa.Array, window: int):
         h, start, end, row = words(*utf8(texts))
         self.vocabulary, first = np.unique(h, return_index=True)
         self.lengths = (end - start)[first]
@@ -138,7 +138,10 @@ class Phrases:
         self.phrases, number = (x.astype(np.int32 if i == 0 else np.int64).reshape((-1, window) if i == 0 else -1) for i, x in
                                 enumerate(np.unique(table, axis=0, return_inverse=True))) if len(at) else (table, np.zeros(0, np.int64))
         self.size = (self.phrases > 0).sum(axis=1)
-        owner = np.unique(np.stack((number, np.asarray(ids)[row[at]]), axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+        known, place = np.unique(ids.fill_null(0).to_numpy(), return_inverse=True)
+        place[ids.is_null().to_numpy(zero_copy_only=False)] = len(known)
+        self.ids = pa.concat_arrays([pa.array(known, pa.int64()), pa.nulls(1, pa.int64())])
+        owner = np.unique(np.stack((number, place[row[at]]), axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
         self.items = owner[:, 1]
         self.first = np.searchsorted(owner[:, 0], np.arange(len(self.phrases) + 1))
         self.shortest = int(self.size.min()) if len(self.size) else 0
@@ -202,7 +205,7 @@ def _searched(block):
             item = np.unique(np.stack((np.repeat(pair[:, 0], many), phrases.items[which]), axis=1), axis=0)
             n = batch.num_rows
             old_items, old_spans = (batch.column(batch.schema.get_field_index(c)) for c in ("items", "spans"))
-            items = pa.ListArray.from_arrays(pa.array(np.searchsorted(item[:, 0], np.arange(n + 1)), pa.int32()), pa.array(item[:, 1], pa.int64()))
+            items = pa.ListArray.from_arrays(pa.array(np.searchsorted(item[:, 0], np.arange(n + 1)), pa.int32()), phrases.ids.take(pa.array(item[:, 1], pa.int64())))
             span = pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in (a - np.searchsorted(row, r), b - np.searchsorted(row, r),
                                                                                   start[a] - off[r], end[b - 1] - off[r])], names=["first", "last", "start", "end"])
             spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(r, np.arange(n + 1)), pa.int32()), span)
@@ -218,19 +221,19 @@ def _searched(block):
 def blocks(benchmark: DataFrame, window: int, block_bytes: int):
     """Phrases of the items, for at most ``block_bytes`` of text (or one item) at a time."""
     ids, texts, size = [], [], 0
-    for r in benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("long"), "text").filter("text is not null").toLocalIterator():
         if size and size + len(r[1]) > block_bytes:
-            yield Phrases(np.array(ids, np.int64), pa.array(texts, pa.string()), window)
+            yield Phrases(pa.array(ids, pa.int64()), pa.array(texts, pa.string()), window)
             ids, texts, size = [], [], 0
         ids.append(r[0])
         texts.append(r[1])
         size += len(r[1])
-    yield Phrases(np.array(ids, np.int64), pa.array(texts, pa.string()), window)
+    yield Phrases(pa.array(ids, pa.int64()), pa.array(texts, pa.string()), window)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (text, any others) with n_words, n_hit (words inside an occurrence), items (array of item_id with an
-    occurrence, sorted) and spans (what to remove: start and end in UTF-8 bytes, from a first word to a last)."""
+    occurrence, sorted, a null for those without an id last) and spans (what to remove: start and end in UTF-8 bytes, from a first word to a last)."""
     own = [c for c in docs.columns if c.lower() not in OUTPUT]
     df = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in own if c != "text")).alias("row"), "text", F.lit(0).cast("long").alias("n_words"),
                      F.array().cast("array<long>").alias("items"),

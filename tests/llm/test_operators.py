@@ -111,6 +111,16 @@ def test_decontamination_against_all_windows(spark, block):
     assert cut.columns == df.columns and cut.filter("doc_id = 0 and text is null").count() == 1
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 1])
+def test_decontamination_by_items_without_an_id(spark, block):
+    items = [(None, "alpha beta"), (0, "gamma"), (None, "delta"), (3, "delta"), (None, None)]
+    docs = [(1, "x Alpha beta y"), (2, "gamma delta alpha"), (3, "gamma"), (4, "alpha delta beta"), (5, None)]
+    df, b = spark.createDataFrame(docs, TEXT), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.search(df, b, block_bytes=block).collect()}
+    assert got == {1: (2, [None]), 2: (2, [0, 3, None]), 3: (1, [0]), 4: (1, [3, None]), 5: (0, [])}
+    assert [r.text for r in decontaminate.remove_hits(df, b, block_bytes=block).sort("doc_id").collect()] == ["x  y", " alpha", "", "alpha  beta", None]
+
+
 def test_packing_places_every_token(spark):
     library = Tokenizer.from_file(TOKENIZER)
     docs = [(1, None), (1, None), (None, ""), (2, "don't we're 'x ''s <|endoftext|> é中   ½\n\n a"), (3, "word " * 5000)] + [(i, "ab " * (i * 7 % 900)) for i in range(4, 60)]
