@@ -11,7 +11,8 @@ Depth-limited radix sort, most significant digit first; only suffixes that still
    growing width until ``length`` bytes are used; windows that stay together are compared byte by byte and repeated.
 
 Step 1 uses 64-bit hashes for anchors and, within one anchor, 64 further bits for stretches; step 3 compares bytes.
-Every row's spans depend on its text alone, given the corpus: repeated rows and texts get the same spans.
+Every row's spans depend on its text alone, given the corpus: repeated rows and texts get the same spans. A row is known
+by its id and 64 hash bits of its text, one without an id by 128 hash bits of its text.
 
 Null text counts as empty; texts shorter than ``length`` lose nothing; null or repeated doc ids are allowed; an empty
 table gives an empty result; input columns with the names of output columns are replaced.
@@ -62,12 +63,12 @@ def stretches(data: np.ndarray, off: np.ndarray, length: int, anchor: int):
     return value[place[new]], rolling.ranges(first, last + length), row[new], first - off[row[new]], last - first + 1, place[new] - first
 
 
-_STRETCH = "h long, c long, place int, windows int, docs array<long>, marks array<int>, starts array<int>"
+_STRETCH = "h long, c long, place int, windows int, docs array<long>, marks array<long>, starts array<int>"
 
 
 def _stretch_rows(length: int, anchor: int):
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("place", pa.int32()), ("windows", pa.int32()),
-                        ("docs", pa.list_(pa.int64())), ("marks", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32()))])
+                        ("docs", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32()))])
 
     def rows(batches):
         for batch, data, off in text_slices(batches):
@@ -77,18 +78,18 @@ def _stretch_rows(length: int, anchor: int):
             new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))) if len(h) else np.zeros(0, np.int64)
             ends = pa.array(np.append(new, len(h)), pa.int32())
             doc, mark = (batch.column(i).to_numpy(zero_copy_only=False)[row] for i in (0, 1))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x, t)) for x, t in ((doc, pa.int64()), (mark, pa.int32()), (start, pa.int32()))]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, t)) for x, t in ((doc, pa.int64()), (mark, pa.int64()), (start, pa.int32()))]
             yield pa.RecordBatch.from_arrays([*(pa.array(x[new].astype(t) if t is not np.int64 else x[new].view(t)) for x, t in
                                                 ((h, np.int64), (c, np.int64), (place, np.int32), (windows, np.int32))), *lists], schema=schema)
     return rows
 
 
-_CONTENT = "h long, doc long, mark int, start int, windows int, place int, whole boolean, content binary"
+_CONTENT = "h long, doc long, mark long, start int, windows int, place int, whole boolean, content binary"
 
 
 def _contents(length: int):
     """The bytes of the wanted stretches of each text."""
-    schema = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int32()),
+    schema = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()),
                         ("windows", pa.int32()), ("place", pa.int32()), ("whole", pa.bool_()), ("content", pa.binary())])
 
     def rows(batches):
@@ -141,12 +142,12 @@ def repeated_windows(data: np.ndarray, base: np.ndarray, group: np.ndarray, leng
     return out
 
 
-_SPAN = "doc long, mark int, start int, end int"
+_SPAN = "doc long, mark long, start int, end int"
 
 
 def _ordered(length: int):
     """Repeated spans of the stretches that aren't repeated as a whole; rows come ordered by anchor."""
-    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
     def spans(batch):
         h, doc, mark, start, windows, place, whole = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
@@ -160,7 +161,7 @@ def _ordered(length: int):
         hit = repeated_windows(data, off[row] + index, group, length) & ~whole[row]
         a, b, r = runs(hit, np.append(np.cumsum(windows) - windows, len(row)))
         begin = start[r] + index[a]
-        return pa.RecordBatch.from_arrays([pa.array(doc[r], pa.int64()), pa.array(mark[r], pa.int32()),
+        return pa.RecordBatch.from_arrays([pa.array(doc[r], pa.int64()), pa.array(mark[r], pa.int64()),
                                            pa.array(begin, pa.int32()), pa.array(begin + (b - a) + length - 1, pa.int32())], schema=schema)
 
     def rows(batches):
@@ -250,8 +251,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
 
 def _with_spans(docs: DataFrame, own: list[str], length: int, anchor: int) -> DataFrame:
     keyed = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in own if c != "text")).alias("row"),
-                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"),
-                        F.hash("text").alias("mark"), F.col("text"))
+                        F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("text"), "text")).alias("doc"),
+                        F.xxhash64("text").alias("mark"), F.col("text"))
     spans = (repeated_spans(keyed, length, anchor).distinct().groupBy("doc", "mark")
              .agg(F.collect_list(F.struct("start", "end")).alias("found")))
     return keyed.join(spans, ["doc", "mark"], "left").select("row", "text", "found")
