@@ -63,7 +63,7 @@ class Model:
         self.transition = np.zeros((n, n))
         self.lexicon_weight = np.zeros((n, n), np.float32)  # in the lexicon of one language, for another
         self.lexicon = np.array(sorted(lexicon), np.uint64)
-        self.member = np.array([lexicon[h] for h in sorted(lexicon)], np.float32).reshape(-1, n)
+        self.member = np.array([lexicon[h] for h in sorted(lexicon)], np.float32).reshape(len(lexicon), n)
 
     def members(self, words: Words) -> np.ndarray:
         out = np.zeros((len(words.hash), len(self.languages)), np.float32)
