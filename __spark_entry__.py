@@ -9,7 +9,7 @@ report and of the landing listing, which are the feature.
 from __future__ import annotations
 
 import datetime
-import importlib.util
+import logging
 import os
 import sys
 from collections.abc import Callable
@@ -32,6 +32,8 @@ from bookflow.schema import CHANNEL_MAP_EXECUTED, CHANNEL_MAP_EXTENDED, STATUS_M
 from bookflow.session import configure  # noqa: E402
 from bookflow.sources import fixtures  # noqa: E402
 
+log = logging.getLogger(__name__)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = fixtures.AS_OF
 
@@ -265,34 +267,29 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _has_llm() -> bool:
-    """Whether the optional subpackage is there; its own import errors aren't hidden."""
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracles of the optional subpackage and the pipeline; none if either can't be imported."""
     try:
-        return importlib.util.find_spec("bookflow.llm.queries") is not None and importlib.util.find_spec("corpus_pipeline") is not None
-    except ModuleNotFoundError:
-        return False
+        import corpus_pipeline
+        from bookflow.llm.queries import ORACLES, QUERIES
+    except ImportError as e:
+        log.warning("training-data queries are left out: %s", e)
+        return {}, {}
+    oracles = dict(ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return QUERIES | {"pipeline": corpus_pipeline.run}, oracles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = dict(_QUERIES)
-    if _has_llm():
-        import corpus_pipeline
-        from bookflow.llm.queries import QUERIES
-
-        out |= QUERIES | {"pipeline": corpus_pipeline.run}
-    return out
+    return _QUERIES | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.duckdb_sql import queries as oracle_queries
 
     q = oracle_queries()
-    out = {k: q[k] for k in _QUERIES if k in q}
-    if _has_llm():
-        from bookflow.llm.queries import ORACLES
-
-        out |= ORACLES
-    return out
+    return {k: q[k] for k in _QUERIES if k in q} | _llm()[1]
 
 
 # --- file-based operators (written under spark.checkpoint.dir) ---------------
