@@ -13,6 +13,7 @@ from bookflow.llm import embedding_dedup as E
 from bookflow.llm import html_extract as H
 from bookflow.llm import language_id as L
 from bookflow.llm import packing as K
+from bookflow.llm import sharding as P
 from bookflow.llm import simhash_dedup as S
 from bookflow.llm import suffix_dedup as X
 from bookflow.llm import toxicity as T
@@ -78,8 +79,19 @@ def op10_suffix_dedup(spark, d):
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_sharding(spark, d):
+    return P.assign(_table(spark, d, "documents").select("doc_id", "text"), 8, columns=["doc_id"])
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_decontaminate, op3_html_extract, op4_packing, op5_chat_format,
-                                   op6_url_filter, op7_simhash_dedup, op8_language_id, op9_toxicity, op10_suffix_dedup)}
+                                   op6_url_filter, op7_simhash_dedup, op8_language_id, op9_toxicity, op10_suffix_dedup,
+                                   op11_sharding)}
+
+#: CRC 32 of the UTF-8 bytes of ``{}``, as a table of 256 entries and a fold over the bytes.
+_CRC_TABLE = """(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce([i::BIGINT] || range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) c FROM range(256) r(i)))"""
+_CRC = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(octet_length(encode({0}))),
+    lambda i: ('0x' || substr(hex(encode({0})), (2 * i + 1)::INT, 2))::BIGINT), lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1])), 4294967295)"""
 
 _FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -117,6 +129,16 @@ ORACLES = {
                sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, r, t) FILTER (r = 'assistant'), '')) AS loss_sha256,
                sum(length('### ' || r || ': ' || regexp_replace(t, '(\\*)(###|</turn>)', '\\\0', 'g') || ' </turn>' || chr(10)))::BIGINT AS formatted_chars
         FROM c GROUP BY conv_id""",
+    "op11_sharding": f"""
+        WITH t AS (SELECT {_CRC_TABLE} AS crc),
+        d AS (SELECT doc_id, coalesce(text, '') s, octet_length(encode(coalesce(text, ''))) + 1 AS size FROM documents),
+        u AS (SELECT doc_id, {_CRC.format("s")} AS c, size, md5(s) m FROM d, t),
+        o AS (SELECT *, (sum(size) OVER w - size)::HUGEINT AS before, (row_number() OVER w) - 1 AS i, (sum(size) OVER ())::HUGEINT AS total,
+              (sum(size) OVER (PARTITION BY m))::HUGEINT AS whole FROM u WINDOW w AS (ORDER BY m, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+        p AS (SELECT *, CASE WHEN whole * 512 > total THEN 2 * before + size ELSE 2 * min(before) OVER (PARTITION BY m) + whole END AS mid FROM o),
+        s AS (SELECT *, least(7, mid * 8 // (2 * total))::INT AS shard FROM p)
+        SELECT doc_id, size::BIGINT AS size, c::BIGINT AS text_crc32, 'bytes' AS law, shard, (i - min(i) OVER (PARTITION BY shard))::BIGINT AS slot,
+               NULL::INT AS grown_shard FROM s""",
     "op10_suffix_dedup": """
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) h FROM documents),
         w AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 400)) m FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) s FROM d)),
