@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookflow.llm import chat_format as C
+from bookflow.llm import collocations as O
 from bookflow.llm import decontaminate as D
 from bookflow.llm import embedding_dedup as E
 from bookflow.llm import html_extract as H
@@ -83,9 +84,13 @@ def op11_sharding(spark, d):
     return P.assign(_table(spark, d, "documents").select("doc_id", "text"), 8, columns=["doc_id"])
 
 
+def op12_collocations(spark, d):
+    return O.collocations(_table(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_decontaminate, op3_html_extract, op4_packing, op5_chat_format,
                                    op6_url_filter, op7_simhash_dedup, op8_language_id, op9_toxicity, op10_suffix_dedup,
-                                   op11_sharding)}
+                                   op11_sharding, op12_collocations)}
 
 #: CRC 32 of the UTF-8 bytes of ``{}``, as a table of 256 entries and a fold over the bytes.
 _CRC_TABLE = """(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce([i::BIGINT] || range(8),
@@ -139,6 +144,27 @@ ORACLES = {
         s AS (SELECT *, least(7, mid * 8 // (2 * total))::INT AS shard FROM p)
         SELECT doc_id, size::BIGINT AS size, c::BIGINT AS text_crc32, 'bytes' AS law, shard, (i - min(i) OVER (PARTITION BY shard))::BIGINT AS slot,
                NULL::INT AS grown_shard FROM s""",
+    "op12_collocations": """
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM d),
+        f1 AS (SELECT lang, p, count(*) AS f FROM (SELECT lang, unnest(w) AS p FROM w) GROUP BY lang, p),
+        g2 AS (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: {'a': w[i], 'b': w[i + 1]})) AS g FROM w),
+        f2 AS (SELECT lang, g.a AS a, g.b AS b, count(*) AS f FROM g2 GROUP BY ALL HAVING count(*) >= 10),
+        g3 AS (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: {'a': w[i], 'b': w[i + 1], 'c': w[i + 2]})) AS g FROM w),
+        f3 AS (SELECT lang, g.a AS a, g.b AS b, g.c AS c, count(*) AS f FROM g3 GROUP BY ALL HAVING count(*) >= 10),
+        longer AS (SELECT lang, a, b, max(f) AS f FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY ALL),
+        two AS (SELECT x.lang, x.a || ' ' || x.b AS phrase, x.f AS a, l.f AS l, r.f AS r, x.f::HUGEINT * x.f * 1000000 // (l.f::HUGEINT * r.f) AS score
+                FROM f2 x JOIN f1 l ON l.lang = x.lang AND l.p = x.a JOIN f1 r ON r.lang = x.lang AND r.p = x.b
+                LEFT JOIN longer o ON o.lang = x.lang AND o.a = x.a AND o.b = x.b WHERE o.f IS NULL OR 100 * o.f < 50 * x.f),
+        cuts AS (SELECT x.lang, x.a || ' ' || x.b || ' ' || x.c AS phrase, x.f AS a, l1.f AS l1, r1.f AS r1, l2.f AS l2, r2.f AS r2,
+                 x.f::HUGEINT * x.f * 1000000 // (l1.f::HUGEINT * r1.f) AS s1, x.f::HUGEINT * x.f * 1000000 // (l2.f::HUGEINT * r2.f) AS s2
+                 FROM f3 x JOIN f1 l1 ON l1.lang = x.lang AND l1.p = x.a JOIN f2 r1 ON r1.lang = x.lang AND r1.a = x.b AND r1.b = x.c
+                 JOIN f2 l2 ON l2.lang = x.lang AND l2.a = x.a AND l2.b = x.b JOIN f1 r2 ON r2.lang = x.lang AND r2.p = x.c),
+        every AS (SELECT * FROM two UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cuts),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM every),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang)
+        SELECT ranked.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000""",
     "op10_suffix_dedup": """
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) h FROM documents),
         w AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 400)) m FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) s FROM d)),
