@@ -157,11 +157,12 @@ def _train(model: Model, texts: list[str], label: np.ndarray, epochs: int) -> No
                     np.add.at(ge, u, v[:, None] * f[k].T[c])
                 grads.append(g)
             touched = np.flatnonzero(np.any(ge != 0, axis=1))
-            flat, index = np.unique(rows[touched], return_inverse=True)
-            gt = np.zeros((len(flat), SIZE), np.float32)
-            np.add.at(gt, index.reshape(len(touched), -1), ge[touched][:, None, :])
-            power[flat] += (gt * gt).mean(axis=1) * len(batch)
-            model.table[flat] -= 0.1 * gt / np.sqrt(power[flat])[:, None]
+            if len(touched):  # no filter of the batch may be open
+                flat, index = np.unique(rows[touched], return_inverse=True)
+                gt = np.zeros((len(flat), SIZE), np.float32)
+                np.add.at(gt, index.reshape(len(touched), -1), ge[touched][:, None, :])
+                power[flat] += (gt * gt).mean(axis=1) * len(batch)
+                model.table[flat] -= 0.1 * gt / np.sqrt(power[flat])[:, None]
             for step, g in zip(rest, (*grads, back.sum(axis=0), d @ hidden)):
                 step.step(g)
             offset_step.step(np.array([d.sum()], np.float32))
