@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bookflow.llm.common import Rolling, give_back, mix, runs, small_batches, text_slices
+from bookflow.llm.common import Rolling, byte_words, give_back, mix, runs, small_batches, text_slices
 from bookflow.llm.quotient_filter import Filter, permute, restore
 from bookflow.session import materialize
 
@@ -87,14 +87,7 @@ class Tokens:
 
     def distinct(self):
         """id, language, word and number of the distinct words, told apart by their bytes."""
-        size = self.end - self.start
-        off = np.concatenate(([0], np.cumsum(size)))
-        inside = np.zeros(len(self.data) + 1, np.int8)
-        inside[self.start] = 1
-        inside[self.end] -= 1
-        flat = self.data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(flat)])
-        coded = words.dictionary_encode()
+        coded = byte_words(self.data, self.start, self.end)
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(self.names) + self.language
         value, first, number = np.unique(code, return_index=True, return_counts=True)
         return (self.id[first], pa.array(self.names, pa.string()).take(pa.array(self.language[first])),

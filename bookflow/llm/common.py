@@ -119,6 +119,16 @@ def runs(member: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start, end, np.searchsorted(off, start, side="right") - 1
 
 
+def byte_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte strings between ``start`` and ``end`` (in order, apart or touching, none empty), dictionary-encoded: equal codes are equal bytes."""
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[start] = 1
+    inside[end] -= 1
+    flat = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+    off = np.concatenate(([0], np.cumsum(end - start))).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(flat))]).dictionary_encode()
+
+
 def cumulative_count(keys: np.ndarray) -> np.ndarray:
     """0 for the first of equal values, 1 for the second, and so on."""
     order = np.argsort(keys, kind="stable")
