@@ -14,6 +14,7 @@ from bookflow.llm import embedding_dedup as E
 from bookflow.llm import html_extract as H
 from bookflow.llm import language_id as L
 from bookflow.llm import packing as K
+from bookflow.llm import periodic_runs as R
 from bookflow.llm import sharding as P
 from bookflow.llm import simhash_dedup as S
 from bookflow.llm import suffix_dedup as X
@@ -88,9 +89,27 @@ def op12_collocations(spark, d):
     return O.collocations(_table(spark, d, "documents"))
 
 
+def _folded(docs):
+    """(doc_id, text) with the last part of every tenth text (by the id's hash) replaced by repeats of its beginning."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    own = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.when(h % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).alias("w"))
+    at = own.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.expr("cast(g % n as int)"))).withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)")
+    return at.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(F.concat(F.expr("slice(w, 1, a)"), again), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, d):
+    found = R.collapse_runs(_folded(_table(spark, d, "documents")), digest=True)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.withColumn("x", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("x.start")).alias("start"), F.col("x.length").alias("length"), (-F.col("x.period")).alias("period"),
+        F.expr("1000 * x.length div -x.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_decontaminate, op3_html_extract, op4_packing, op5_chat_format,
                                    op6_url_filter, op7_simhash_dedup, op8_language_id, op9_toxicity, op10_suffix_dedup,
-                                   op11_sharding, op12_collocations)}
+                                   op11_sharding, op12_collocations, op13_periodic_runs)}
 
 #: CRC 32 of the UTF-8 bytes of ``{}``, as a table of 256 entries and a fold over the bytes.
 _CRC_TABLE = """(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce([i::BIGINT] || range(8),
@@ -165,6 +184,24 @@ ORACLES = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM every),
         n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang)
         SELECT ranked.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000""",
+    "op13_periodic_runs": f"""
+        WITH t AS (SELECT {_CRC_TABLE} AS crc),
+        d AS (SELECT doc_id, {_CRC.format("(doc_id::VARCHAR)")} AS h, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents, t),
+        e AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+        x AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+              w[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1)::INT]) ELSE w END AS w FROM e),
+        v AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM x),
+        m AS (SELECT a.doc_id, b.i - a.i AS q, b.i AS i FROM v a JOIN v b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND (b.i - a.i) * 4 <= a.n),
+        k AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM m),
+        r AS (SELECT doc_id, q, min(i) - q AS s, max(i) + 1 AS e FROM k GROUP BY doc_id, q, k HAVING max(i) + 1 - min(i) + q >= greatest(6, 4 * q)),
+        runs AS (SELECT doc_id, s, e - s AS len, min(q) AS q FROM r GROUP BY doc_id, s, e),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+        kept AS (SELECT v.doc_id, string_agg(word, ' ' ORDER BY v.i) AS kept FROM v LEFT JOIN gone ON gone.doc_id = v.doc_id AND gone.i = v.i WHERE gone.i IS NULL GROUP BY v.doc_id),
+        best AS (SELECT doc_id, s, len, q FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len DESC, s, q) = 1),
+        said AS (SELECT doc_id, count(*) AS n, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY doc_id)
+        SELECT x.doc_id, coalesce(said.n, 0) AS n_runs, best.s AS start, best.len AS length, best.q AS period, 1000 * best.len // best.q AS exponent_milli,
+               sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+        FROM x LEFT JOIN said ON said.doc_id = x.doc_id LEFT JOIN best ON best.doc_id = x.doc_id LEFT JOIN kept ON kept.doc_id = x.doc_id""",
     "op10_suffix_dedup": """
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) h FROM documents),
         w AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 400)) m FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) s FROM d)),
