@@ -171,8 +171,20 @@ def q_stage_retention(spark, d):
 
 
 def q_merge_actions(spark, d):
+    """M1 on the stored keys: run A merged, run B classified against its keys; production isn't read."""
+    from bookflow.plans import tables as TB
+
     s = S.build(spark, d)
-    return M.merge_actions(s.source, s.target)
+
+    def work(db, root):
+        TB.create_tables(spark, db, root)
+        TB.apply_merge(spark, db, s.target)
+
+    def actions(db):
+        return TB.classify_run(spark, db, s.source).select("store_id", "record_key", "action", "reserve_date",
+                                                           F.col("_old.reserve_date").alias("old_reserve_date"))
+
+    return _in_tables(spark, "actions", work, actions)
 
 
 def q_merge_stats(spark, d):
@@ -403,18 +415,19 @@ def q_run_totals(spark, d):
 
 def _in_tables(spark, purpose, work, table):
     """Fresh catalog tables under the checkpoint folder for ``work(db, root)``;
-    then ``table`` read from its files, and the catalog left as it was."""
+    then ``table`` (or what ``table(db)`` returns) written aside, and the
+    catalog left as it was."""
     import uuid
 
-    from bookflow.session import scratch_path
+    from bookflow.session import materialize, scratch_path
 
     configure(spark)
     root = scratch_path(spark, purpose)
     db = "bookflow_" + uuid.uuid4().hex[:12]
     work(db, f"{root}/tables")
-    schema = spark.table(f"{db}.{table}").schema
+    out = materialize(spark.table(f"{db}.{table}") if isinstance(table, str) else table(db), purpose)
     spark.sql(f"DROP DATABASE {db} CASCADE")
-    return spark.read.schema(schema).parquet(f"{root}/tables/{table}")
+    return out
 
 
 def _daily_run(spark, d, db, root, as_of=None):
@@ -464,7 +477,7 @@ def q_merge_apply(spark, d):
 
 def q_merge_apply_kpi(spark, d):
     """The stored KPI rows after both merges' refreshes."""
-    return _in_tables(spark, "merge", lambda db, root: _two_merges(spark, d, db, root, True), "daily_kpi")
+    return _in_tables(spark, "merge", lambda db, root: _two_merges(spark, d, db, root, True), "daily_kpi").drop("headcounts")
 
 
 def q_table_profile(spark, d):

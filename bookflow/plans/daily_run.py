@@ -19,7 +19,6 @@ from bookflow.functions.naming import run_id_for, utc_date
 from bookflow.operators.mapping import map_columns
 from bookflow.operators.normalize import normalize, reject_reason, rejected_rows, valid_rows
 from bookflow.operators.runs import SUCCESS, run_summary, transform_yield
-from bookflow.operators.stage import stage_dedup
 from bookflow.operators.stores import active_stores, mark_window, store_windows
 from bookflow.plans import landing as L
 from bookflow.plans import tables as TB
@@ -87,8 +86,7 @@ def daily_run(
     result.load = TB.append_stage(spark, database, valid)
     _quarantine(rejected, tables_root, run_id)
     if ok_stores.limit(1).count() > 0:
-        source = stage_dedup(TB.read_stage(spark, database), run_id)
-        result.merge = TB.apply_merge(spark, database, source)
+        result.merge = TB.apply_merge(spark, database, TB.run_source(spark, database, run_id))
     # KPI table: only the reserve_date partitions that this merge, or one that
     # was never followed by a refresh, changed.
     TB.create_kpi_table(spark, database, tables_root)
@@ -118,7 +116,7 @@ def manual_backfill(spark: SparkSession, path: str, database: str, tables_root:
     rows = materialize(rows.withColumn("reject_reason", reasons), f"backfill-{run_id}")
     load = TB.load_files_to_stage(spark, database, path, lambda s, p: valid_rows(rows))
     _quarantine(rejected_rows(rows), tables_root, run_id)
-    merge = TB.apply_merge(spark, database, stage_dedup(TB.read_stage(spark, database), run_id))
+    merge = TB.apply_merge(spark, database, TB.run_source(spark, database, run_id))
     TB.create_kpi_table(spark, database, tables_root)
     TB.refresh_kpi(spark, database)
     return {"load": load, "merge": merge}
