@@ -333,6 +333,43 @@ def q_csv_scan(spark, d):
     return m.withColumn("src_key", F.col("src_key").cast("bigint"))
 
 
+def _odd_names(df):
+    """Course names with quotes and commas, and with line breaks."""
+    k, course = F.col("headcount") % 5, F.col("course_name")
+    return df.withColumn("course_name", F.when(k == 1, F.concat(course, F.lit('"特別", A'))).when(k == 2, F.concat(course, F.lit("\nB, "))).otherwise(course))
+
+
+def q_csv_scan_multiline(spark, d):
+    """Course names that hold line breaks, in some stores' files; one store's files are ragged beside that and go."""
+    from bookflow.operators.mapping import map_columns
+    from bookflow.session import scratch_path
+    from bookflow.sources.csv_files import scan_exports, write_exports
+
+    configure(spark)
+    path = scratch_path(spark, "exports")
+    lines = fixtures.reservations_export(spark, d)
+    broken = (F.substring("store_id", 6, 3).cast("int") % 2 == 1) & (F.col("src_key") % 3 == 1)
+    name = F.concat(F.col("コース名"), F.lit("\n2行目, \"表\""))
+    write_exports(lines.withColumn("コース名", F.when(broken, name).otherwise(F.col("コース名"))), path)
+    ragged = spark.createDataFrame([('予約番号,予約日\n1,"2024-\n01-01"\n2,3,4',)], "value string").coalesce(1)
+    ragged.withColumn("store_id", F.lit("store999")).write.mode("append").partitionBy("store_id").text(path)
+    found, _bad = scan_exports(spark, path)
+    return map_columns(found, keep=("store_id", "src_key")).withColumn("src_key", F.col("src_key").cast("bigint"))
+
+
+def q_store_master_file(spark, d):
+    """The store sheet as a CSV export with its headers as people write them, read back."""
+    from bookflow.session import scratch_path
+    from bookflow.sources.stores import read_store_master
+
+    configure(spark)
+    path = scratch_path(spark, "store-sheet")
+    sheet = fixtures.stores_raw(spark, d)
+    sheet = sheet.toDF(*(f" {c.upper()} " if i % 2 else c.title() for i, c in enumerate(sheet.columns)))
+    sheet.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_store_master(spark, path)
+
+
 def q_landing_roundtrip(spark, d):
     """L2 + C3: all valid rows written as landing CSV and read back by name."""
     from bookflow.plans import landing as L
@@ -345,15 +382,15 @@ def q_landing_roundtrip(spark, d):
 
 
 def q_stream_stage(spark, d):
-    """Both runs' loads landed as files, ingested by the availableNow stream."""
+    """Both runs' loads landed as files, names with quotes, commas and line breaks among them, ingested by the availableNow stream."""
     from bookflow.plans import landing as L
     from bookflow.session import scratch_path
     from bookflow.streaming.landing_ingest import read_stage_sink, start_stage_ingest
 
     s = S.build(spark, d)
     root = scratch_path(spark, "landing")
-    L.write_landing(s.load_a, root)
-    L.write_landing(s.load_b, root)
+    L.write_landing(_odd_names(s.load_a), root)
+    L.write_landing(_odd_names(s.load_b), root)
     stage_path = scratch_path(spark, "stage")
     q = start_stage_ingest(spark, root, stage_path, scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
@@ -390,6 +427,19 @@ def q_landing_expired(spark, d):
     return expired.drop("modificationTime", "length", "path", "files")
 
 
+def q_landing_removed(spark, d):
+    """What expiry deleted."""
+    L, root = _landed(spark, d)
+    return L.expire_landing(spark, root, "1998-08-31 16:15:00", by="upload_ts").drop("modificationTime", "length", "path", "files")
+
+
+def q_landing_after_expiry(spark, d):
+    """A listing after expiry lacks what it deleted."""
+    L, root = _landed(spark, d)
+    L.expire_landing(spark, root, "1998-08-31 16:15:00", by="upload_ts")
+    return L.inventory(spark, root).drop("modificationTime", "length", "path", "files")
+
+
 def q_manual_landing(spark, d):
     """L4: run B's rows handed in as files beside run A's scheduled ones; the listing of the manual folder."""
     from bookflow.plans import landing as L
@@ -484,6 +534,7 @@ def q_table_profile(spark, d):
     """Both tables' profiles after two loads and a merge; creating them again changes nothing."""
     from bookflow.plans import tables as TB
     from bookflow.plans.landing import table_profile
+    from bookflow.session import materialize
 
     got = []
 
@@ -496,27 +547,58 @@ def q_table_profile(spark, d):
         TB.create_tables(spark, db, root)
         for t in (TB.STAGE, TB.PRODUCTION):
             columns = len(spark.table(f"{db}.{t}").columns)
-            got.append(table_profile(spark, f"{db}.{t}").select(F.lit(t).alias("table_name"), "num_rows", F.lit(columns).alias("num_columns"),
-                                                                (F.col("num_bytes") > 0).alias("has_files")))
+            prof = table_profile(spark, f"{db}.{t}").select(F.lit(t).alias("table_name"), "num_rows", F.lit(columns).alias("num_columns"),
+                                                            (F.col("num_bytes") > 0).alias("has_files"))
+            got.append(materialize(prof, "profile"))
 
     _in_tables(spark, "profile", work, "reservations")
     return got[0].union(got[1])
 
 
+def q_load_stats(spark, d):
+    """The daily run's loads by store: rows, files and bytes."""
+    got = _in_tables(spark, "daily", lambda db, root: _daily_run(spark, d, db, root), "load_stats")
+    return got.select("run_id", "store_id", "source", "output_rows", (F.col("input_files") > 0).alias("has_files"),
+                      (F.col("input_bytes") > F.col("output_rows")).alias("has_bytes"))
+
+
+def q_compacted_files(spark, d):
+    """Both loads appended in pieces to the stage, then its small files rewritten together: files and rows of each date."""
+    from bookflow.plans import tables as TB
+
+    got = []
+
+    def work(db, root):
+        s = S.build(spark, d)
+        TB.create_tables(spark, db, root)
+        for load in (s.load_a, s.load_b):
+            for part in range(3):
+                TB.append_stage(spark, db, load.filter(F.pmod(F.hash("record_key"), F.lit(3)) == part))
+        got.append(TB.compact(spark, db))
+
+    stage = _in_tables(spark, "compact", work, "stage_reservations")
+    left = stage.groupBy(F.col("ingestion_date").alias("day")).agg(F.count(F.lit(1)).alias("rows_left"))
+    return got[0].join(left, "day").select("day", (F.col("files_before") >= 3).alias("had_many"), "files_after", "num_rows", "rows_left")
+
+
 MANUAL_RUN = "manual_19980801_120000"
 
 
 def q_manual_load(spark, d):
-    """C3 + E4: files in landing format, with NULL and impossible dates, loaded into stage by a backfill."""
+    """C3 + E4: files in landing format with their columns in two orders, names with quotes, commas and line breaks, NULL
+    and impossible dates, loaded into stage by a backfill."""
     from bookflow.plans.daily_run import manual_backfill
+    from bookflow.plans.landing import CSV_OPTIONS
     from bookflow.session import scratch_path
 
     def work(db, root):
         path = scratch_path(spark, "manual")
-        rows = _normalized(spark, d)
+        rows = _odd_names(_normalized(spark, d))
         day = F.coalesce(F.col("reserve_date").cast("string"), F.when(F.col("src_key") % 50 == 1, "2024-02-31"))
-        rows = rows.withColumn("reserve_date", day).select(RESERVATION_COLUMNS)
-        rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+        rows = rows.withColumn("reserve_date", day)
+        for part, columns in ((0, RESERVATION_COLUMNS), (1, [*reversed(RESERVATION_COLUMNS), "src_key"])):
+            own = rows.filter(F.col("src_key") % 2 == part).select(columns)
+            own.write.mode("append").options(**CSV_OPTIONS).csv(path)
         manual_backfill(spark, path, db, root, MANUAL_RUN)
 
     return _in_tables(spark, "manual", work, "stage_reservations").select(RESERVATION_COLUMNS)
@@ -528,6 +610,12 @@ _QUERIES.update({
     "kpi_view": q_kpi_view,
     "run_totals": q_run_totals,
     "csv_scan": q_csv_scan,
+    "csv_scan_multiline": q_csv_scan_multiline,
+    "store_master_file": q_store_master_file,
+    "landing_removed": q_landing_removed,
+    "landing_after_expiry": q_landing_after_expiry,
+    "load_stats": q_load_stats,
+    "compacted_files": q_compacted_files,
     "landing_roundtrip": q_landing_roundtrip,
     "stream_stage": q_stream_stage,
     "landing_inventory": q_landing_inventory,

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookflow.functions.naming import run_id_for, utc_date
+from bookflow.functions.naming import local_ts, run_id_for, utc_date
 from bookflow.operators.mapping import map_columns
 from bookflow.operators.normalize import normalize, reject_reason, rejected_rows, valid_rows
 from bookflow.operators.runs import SUCCESS, run_summary, transform_yield
@@ -81,11 +81,16 @@ def daily_run(
     if dry_run:
         return result
 
-    L.write_landing(valid, landing_root)
     TB.create_tables(spark, database, tables_root)
-    result.load = TB.append_stage(spark, database, valid)
+    loaded = not ok_stores.isEmpty()
+    files = None
+    if loaded:
+        L.write_landing(valid, landing_root)
+        day = spark.range(1).select(F.date_format(local_ts(F.lit(run_ts).cast("timestamp")), "yyyy-MM-dd")).first()[0]
+        files = L.run_files(spark, landing_root, run_id, day)
+    result.load = TB.append_stage(spark, database, valid, "daily", files)
     _quarantine(rejected, tables_root, run_id)
-    if ok_stores.limit(1).count() > 0:
+    if loaded:
         result.merge = TB.apply_merge(spark, database, TB.run_source(spark, database, run_id))
     # KPI table: only the reserve_date partitions that this merge, or one that
     # was never followed by a refresh, changed.
@@ -104,19 +109,21 @@ def _quarantine(rejected: DataFrame, tables_root: str, run_id: str) -> None:
 def manual_backfill(spark: SparkSession, path: str, database: str, tables_root: str, run_id: str) -> dict:
     """Load landing-format files from ``path`` into stage under
     ``run_id``, merge that run and refresh the KPI dates it changed; returns
-    load (A6) and merge (A3) counts. Rows are validated as in the daily run
+    load (A6) and merge (A3) counts and the number of files rejected as
+    ragged. Each file is bound by its own header. Rows are validated as in the daily run
     (a cell that can't be read is NULL; every required column must be there)
     and the others quarantined with their reasons."""
     configure(spark)
     TB.create_tables(spark, database, tables_root)
-    rows = L.read_landing(spark, path).withColumn("run_id", F.lit(run_id))
+    rows, rejected_files = L.scan_landing(spark, path)
+    rows = rows.withColumn("run_id", F.lit(run_id))
     checked = ("store_id", "reserve_date")  # reject_reason names these itself
     absent = [F.when(F.col(c).isNull(), F.lit(f"missing_{c}")) for c in REQUIRED_COLUMNS if c not in checked]
     reasons = F.concat_ws(",", F.nullif(reject_reason(rows), F.lit("")), *absent)
     rows = materialize(rows.withColumn("reject_reason", reasons), f"backfill-{run_id}")
-    load = TB.load_files_to_stage(spark, database, path, lambda s, p: valid_rows(rows))
+    load = TB.load_files_to_stage(spark, database, path, lambda s, p: valid_rows(rows), run_id)
     _quarantine(rejected_rows(rows), tables_root, run_id)
     merge = TB.apply_merge(spark, database, TB.run_source(spark, database, run_id))
     TB.create_kpi_table(spark, database, tables_root)
     TB.refresh_kpi(spark, database)
-    return {"load": load, "merge": merge}
+    return {"load": load, "merge": merge, "rejected_files": rejected_files.count()}

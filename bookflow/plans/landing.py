@@ -4,6 +4,9 @@ Landing files are the normalised records as fully quoted CSV with a header,
 one folder per (upload date in the source time zone, run, store). The
 manifest that object metadata carried (store, run, record count, upload
 time, vendor) is written next to them as a small parquet table.
+
+Files are read back as exports are: each bound by its own header, whatever
+the order of its columns, with line breaks inside quotes.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ from bookflow.functions.naming import local_ts
 from bookflow.operators.runs import landing_manifest
 from bookflow.operators.stage import conform
 from bookflow.schema import LANDING_RETENTION_DAYS, RESERVATION_COLUMNS
-from bookflow.session import configure
+from bookflow.session import configure, materialize
+from bookflow.sources.csv_files import scan_exports
+from bookflow.storage import delete_folders
 
 DATA = "data"
 # Files handed in by a user stand apart from those of the scheduled runs.
@@ -23,6 +28,10 @@ MANUAL = "manual"
 MANIFEST = "manifest"
 # Folder levels; the files themselves keep all 15 record columns.
 PARTS = ["ingest_date", "run", "store"]
+# How landing files are written, and read by a stream.
+CSV_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_ENCODING = "UTF-8"
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary, " + ", ".join(f"{p} string" for p in PARTS)
 
 
 def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled", folder: str = DATA) -> None:
@@ -40,9 +49,7 @@ def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled", f
         rows.hint("rebalance", "run", "store")
         .write.mode("append")
         .partitionBy(*PARTS)
-        .option("header", True)
-        .option("quoteAll", True)
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .csv(f"{root}/{folder}")
     )
     path = F.concat(
@@ -58,26 +65,33 @@ def write_manual(valid: DataFrame, root: str) -> None:
     write_landing(valid, root, "manual", MANUAL)
 
 
+def scan_landing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Landing (or manual) CSVs as (rows of the fixed record schema, rejected files); every file is bound by its own
+    header (columns in any order, absent ones NULL), an empty cell is NULL. Folder levels that repeat run and store
+    don't count; the files' own columns carry the values."""
+    lines, rejected = scan_exports(spark, path, CSV_ENCODING, RESERVATION_COLUMNS)
+    return conform(lines.select([F.nullif(F.col(c), F.lit("")).alias(c) for c in lines.columns if c in RESERVATION_COLUMNS])), rejected
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Landing (or manual) CSVs back to the fixed record schema, bound by
-    header name; ready for a stage append."""
-    configure(spark)
-    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
-    # Folder levels repeat run/store; the file columns carry the values.
-    return conform(raw.select([c for c in raw.columns if c not in PARTS]))
+    """The rows of ``scan_landing``, ready for a stage append."""
+    return scan_landing(spark, path)[0]
 
 
-def inventory(spark: SparkSession, root: str, max_results: int | None = None, folder: str = DATA) -> DataFrame:
+def inventory(spark: SparkSession, root: str, max_results: int | None = None, folder: str = DATA, ingest_date: str | None = None) -> DataFrame:
     """C4 + O3: one row per landing object under ``folder`` (a store's folder of one run and
     date): part files, bytes and last modification from a listing, record
     count and upload time from the manifest; all of them, or the first
-    ``max_results`` by path. File contents are never read."""
+    ``max_results`` by path. With ``ingest_date`` only that date's folders
+    are listed. File contents are never read."""
     configure(spark)
     root = root.rstrip("/")
     files = (
         spark.read.format("binaryFile")
+        .schema(_LISTING)  # an emptied folder has no levels to infer
         .option("pathGlobFilter", "*.csv")
-        .load(f"{root}/{folder}")
+        .option("basePath", f"{root}/{folder}")
+        .load(f"{root}/{folder}" + (f"/ingest_date={ingest_date}" if ingest_date else ""))
         .select("path", "length", "modificationTime", *PARTS)
         .withColumnsRenamed({"run": "run_id", "store": "store_id"})
         .groupBy("ingest_date", "run_id", "store_id")
@@ -111,28 +125,46 @@ def expired_files(inv: DataFrame, as_of_ts, days: int = LANDING_RETENTION_DAYS,
     return inv.filter(F.col(by) < cutoff)
 
 
+def run_files(spark: SparkSession, root: str, run_id: str, ingest_date: str, folder: str = DATA) -> DataFrame:
+    """Files and bytes that a run landed for each store, from the listing of its date."""
+    own = inventory(spark, root, folder=folder, ingest_date=ingest_date).filter(F.col("run_id") == run_id)
+    return own.select("run_id", "store_id", F.col("files").alias("input_files"), F.col("length").alias("input_bytes"))
+
+
+def expire_landing(spark: SparkSession, root: str, as_of_ts, days: int = LANDING_RETENTION_DAYS, by: str = "modificationTime", folder: str = DATA) -> DataFrame:
+    """Delete the expired landing objects under ``folder``; returns what was removed (their rows of the inventory).
+    The list is written before anything goes, so a run that dies is made good by the next one. The manifest keeps its
+    rows: it says what was landed once."""
+    gone = materialize(expired_files(inventory(spark, root, folder=folder), as_of_ts, days, by), "landing-expired")
+    delete_folders(spark, [r["path"] for r in gone.select("path").toLocalIterator()])
+    return gone
+
+
 def table_profile(spark: SparkSession, table: str) -> DataFrame:
-    """Rows, bytes, files, first/last modification and schema of a table.
+    """Rows, bytes, files, creation and last modification, and schema of a table.
 
-    Sizes and times come from a file listing of the table location (no data
-    read); the row count from parquet footers.
+    The creation time is the catalog's; the rest comes from one scan of the
+    files' metadata (row counts from the footers, no column is read), so it
+    covers the files the table has now, wherever its partitions lie.
     """
     configure(spark)
     df = spark.table(table)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").first()
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(location["data_type"])
+    spark.sql(f"REFRESH TABLE {table}")
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    files = df.groupBy("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").agg(F.count(F.lit(1)).alias("n"))
     stats = files.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("num_rows"),
         F.count(F.lit(1)).alias("num_files"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("num_bytes"),
-        F.min("modificationTime").alias("creation_time"),
-        F.max("modificationTime").alias("last_modified_time"),
+        F.coalesce(F.sum("file_size"), F.lit(0)).alias("num_bytes"),
+        F.max("file_modification_time").alias("last_modified_time"),
     )
+    created = F.to_timestamp(F.lit(about["Created Time"]), "EEE MMM dd HH:mm:ss zzz yyyy")
     return stats.select(
         F.lit(table).alias("table_id"),
-        F.lit(df.count()).cast("bigint").alias("num_rows"),
+        "num_rows",
         "num_bytes",
         "num_files",
-        "creation_time",
+        created.alias("creation_time"),
         "last_modified_time",
         F.lit(df.schema.simpleString()).alias("schema"),
     )

@@ -1,7 +1,8 @@
 """Incremental stage load from landing files with Structured Streaming.
 
 The batch load job of the daily run, expressed as a file stream: every new
-landing CSV is read once, bound by header name to the record schema and
+landing CSV is read once with the options it was written with, its header
+checked against the record schema, and
 appended to the stage location through the parquet file sink, whose commit
 log makes the append exactly-once across restarts and lost executors. Run
 it with ``availableNow`` from the scheduler (drain what landed, then stop)
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bookflow.operators.stage import STAGE_PARTITION, conform
-from bookflow.plans.landing import DATA, PARTS
+from bookflow.plans.landing import CSV_OPTIONS, DATA, PARTS
 from bookflow.schema import RESERVATION_COLUMNS, RESERVATION_SCHEMA
 from bookflow.session import configure
 
@@ -30,7 +31,9 @@ def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger
     configure(spark)
     raw = (
         spark.readStream.schema(LANDING_FILE_SCHEMA)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
+        .option("enforceSchema", False)  # the schema is positional: a file with another header stops the stream
+        .option("multiLine", True)  # names may hold line breaks; a file is a store's part of a run
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(f"{landing_root.rstrip('/')}/{DATA}")
     )

@@ -422,7 +422,24 @@ FROM stage GROUP BY run_id, store_id"""
 SELECT 'stage_reservations' AS table_name, COUNT(*) AS num_rows, 16 AS num_columns, COUNT(*) > 0 AS has_files FROM stage
 UNION ALL SELECT 'reservations', COUNT(*), 15, COUNT(*) > 0 FROM tgt"""
     q["merge_apply_kpi"] = q["daily_kpi"]
-    q["manual_load"] = q["valid_rows"].replace(f"'{RUN_A[0]}'", "'manual_19980801_120000'", 1)
+    odd = ("CASE headcount % 5 WHEN 1 THEN course_name || '\"特別\", A' WHEN 2 THEN course_name || chr(10) || 'B, ' "
+           "ELSE course_name END AS course_name")
+    q["manual_load"] = run_a.replace(f"'{RUN_A[0]}'", "'manual_19980801_120000'", 1) + f"""
+SELECT {COLS15.replace('course_name', odd)} FROM norm_a WHERE reject_reason = ''"""
+    q["store_master_file"] = q["store_master"]
+    q["csv_scan_multiline"] = base + """
+SELECT store_id, src_key, reservation_id, NULL::VARCHAR AS store_name_rb, reserve_date_raw, booking_date_raw, start_time_raw, end_time_raw,
+       CASE WHEN CAST(substr(store_id, 6) AS INTEGER) % 2 = 1 AND src_key % 3 = 1 THEN course_name || chr(10) || '2行目, "表"'
+            ELSE course_name END AS course_name,
+       headcount_raw, channel_raw, status_raw
+FROM res_raw"""
+    q["landing_removed"] = q["landing_expired"]
+    q["landing_after_expiry"] = f"SELECT * FROM ({landed}) WHERE upload_ts >= TIMESTAMP '1998-08-31 16:15:00' - INTERVAL 30 DAY"
+    q["load_stats"] = all_lines + f"""
+SELECT '{RUN_A[0]}' AS run_id, store_id, 'daily' AS source, COUNT(*) AS output_rows, TRUE AS has_files, TRUE AS has_bytes
+FROM norm_all WHERE reject_reason = '' GROUP BY store_id"""
+    q["compacted_files"] = scen + """
+SELECT ingestion_date AS day, TRUE AS had_many, 1 AS files_after, COUNT(*) AS num_rows, COUNT(*) AS rows_left FROM stage GROUP BY ingestion_date"""
     q["daily_run_windowed"] = run_a + """
 , win AS (
   SELECT store_id,
@@ -437,5 +454,5 @@ SELECT n.store_id, COUNT(*) AS parsed_rows,
        COUNT(*) FILTER (WHERE reject_reason = '' AND NOT (reserve_date BETWEEN wf AND wt)) AS outside_rows
 FROM norm_a n JOIN win w ON n.store_id = w.store_id GROUP BY n.store_id"""
     q["landing_roundtrip"] = q["valid_rows"]
-    q["stream_stage"] = q["stage_union"]
+    q["stream_stage"] = scen + f" SELECT {COLS15.replace('course_name', odd)}, ingestion_date FROM stage"
     return q

@@ -186,3 +186,18 @@ def test_daily_run_dry_run_writes_nothing(spark, tmp_root):
     y = res.yields.agg(*(F.sum(c).alias(c) for c in ("parsed_rows", "valid_rows", "rejected_rows", "outside_rows"))).first()
     assert y["parsed_rows"] == y["valid_rows"] + y["rejected_rows"] + y["outside_rows"] and y["rejected_rows"] > 0
     assert res.summary.count() == 18
+
+
+def test_line_breaks_inside_quotes(spark, tmp_root):
+    _write(f"{tmp_root}/store_id=001/a.csv", f'{HEADER}\n1,2024-01-15,18:00,4名,"食べ\nログ, 表",確定\n2,2024-01-16,"19:00",2,電話,"a ""b"" c"\n')
+    _write(f"{tmp_root}/store_id=002/b.csv", '経路,予約番号\r\n"x\r\n\r\ny",3\r\n"z",4\r\n')
+    _write(f"{tmp_root}/store_id=003/c.csv", f'{HEADER}\n5,2024-01-15,18:00,4,"open\nline",確定\n6,2024-01-15\n')
+    _write(f"{tmp_root}/store_id=004/d.csv", f"{HEADER}\n7,2024-01-15,18:00,6'2\" tall,電話,確定\n")
+    _write(f"{tmp_root}/store_id=005/e.csv", f'{HEADER}\n8,2024-01-15,18:00,4,"never closed,確定\n9,2024-01-16,18:00,4,電話,確定\n')
+    lines, bad = scan_exports(spark, tmp_root)
+    got = {r["予約番号"]: r for r in lines.collect()}
+    assert sorted(got) == ["1", "2", "3", "4", "7"]
+    assert got["1"]["経路"] == "食べ\nログ, 表" and got["2"]["ステータス"] == 'a "b" c' and got["2"]["開始時間"] == "19:00"
+    assert got["3"]["経路"].replace("\r", "") == "x\n\ny" and got["3"]["人数"] is None and got["4"]["経路"] == "z"
+    assert got["7"]["人数"] == "6'2\" tall" and {r["store_id"] for r in got.values()} == {"001", "002", "004"}
+    assert sorted((r["store_id"], r["bad_lines"]) for r in bad.collect()) == [("003", 1), ("005", 1)]
