@@ -527,7 +527,7 @@ def q_merge_apply(spark, d):
 
 def q_merge_apply_kpi(spark, d):
     """The stored KPI rows after both merges' refreshes."""
-    return _in_tables(spark, "merge", lambda db, root: _two_merges(spark, d, db, root, True), "daily_kpi").drop("headcounts")
+    return _in_tables(spark, "merge", lambda db, root: _two_merges(spark, d, db, root, True), "daily_kpi").drop("headcounts", "month")
 
 
 def q_table_profile(spark, d):

@@ -63,6 +63,7 @@ KPI = "daily_kpi"
 KPI_CHANGES = "kpi_changes"
 
 DAY = "reserve_date"
+MONTH = "month"
 #: Buckets of the keys, and segments of them at most.
 KEY_BUCKETS = 16
 KEY_SEGMENTS = 8
@@ -302,41 +303,43 @@ def _signed(changes: DataFrame) -> DataFrame:
 
 
 def create_kpi_table(spark: SparkSession, database: str, root: str) -> None:
-    """The KPI view (L9) kept as a table partitioned by reserve_date; ``headcounts`` is the number behind the mean."""
+    """The KPI view (L9) kept as a table; ``headcounts`` is the number behind the mean. A date has few KPI rows, so a
+    partition holds a month (its first day): a file for each date would cost more than its rows."""
     root = root.rstrip("/")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{KPI} (store_id STRING, store_name STRING, channel STRING, "
         "status STRING, reservation_count BIGINT, total_headcount BIGINT, avg_party_size DOUBLE, "
-        "confirmed_count BIGINT, cancelled_count BIGINT, completed_count BIGINT, headcounts BIGINT, reserve_date DATE) "
-        f"USING parquet PARTITIONED BY (reserve_date) LOCATION '{root}/{KPI}'"
+        "confirmed_count BIGINT, cancelled_count BIGINT, completed_count BIGINT, headcounts BIGINT, reserve_date DATE, month DATE) "
+        f"USING parquet PARTITIONED BY (month) LOCATION '{root}/{KPI}'"
     )
     V.create_log(spark, f"{database}.{KPI}", root)
-    V.recover(spark, f"{database}.{KPI}", DAY)
+    V.recover(spark, f"{database}.{KPI}", MONTH)
 
 
 def refresh_kpi(spark: SparkSession, database: str, everything: bool = False) -> int:
     """Add the changes of the merges since the last refresh to the stored sums
-    of their dates and switch those partitions; the daily cost follows the
-    change and production isn't read. With ``everything`` all dates are worked
-    out from production. Returns the number of dates."""
+    of their months and switch those partitions; the daily cost follows the
+    change and production isn't read. With ``everything`` all is worked out
+    from production. Returns the number of partitions written."""
     table, production = f"{database}.{KPI}", f"{database}.{PRODUCTION}"
     V.recover(spark, production, DAY)
-    V.recover(spark, table, DAY)
+    V.recover(spark, table, MONTH)
     done, last = V.last_commit(spark, table)[1], V.last_commit(spark, production)[0]
+    month = F.trunc(DAY, "month").alias(MONTH)
     changes = spark.table(f"{database}.{KPI_CHANGES}").filter((F.col("seq") > F.lit(done)) & (F.col("seq") <= F.lit(last)))
     stored = spark.table(table)
     if everything:
         prod = read_production(spark, database)
         sums = prod.groupBy(*KPI_KEYS).agg(*_sums())
-        days = prod.select(DAY).unionByName(stored.select(DAY)).distinct()
+        months = prod.select(month).unionByName(stored.select(MONTH)).distinct()
     else:
-        days = changes.select(DAY).distinct()
-    touched = sorted(r[0] for r in days.collect())
+        months = changes.select(month).distinct()
+    touched = sorted(r[0] for r in months.collect())
     if not touched:
         return 0
     if not everything:
-        there = stored.filter(F.col(DAY).isin(touched)).select(*KPI_KEYS, F.coalesce("total_headcount", F.lit(0)).alias("total_headcount"),
-                                                               *(c for c in _KPI_SUMS if c != "total_headcount"))
+        there = stored.filter(F.col(MONTH).isin(touched)).select(*KPI_KEYS, F.coalesce("total_headcount", F.lit(0)).alias("total_headcount"),
+                                                                 *(c for c in _KPI_SUMS if c != "total_headcount"))
         both = there.unionByName(changes.select(*KPI_KEYS, *_KPI_SUMS))
         sums = both.groupBy(*KPI_KEYS).agg(*(F.sum(c).alias(c) for c in _KPI_SUMS))
     some = F.col("headcounts") > 0
@@ -345,9 +348,10 @@ def refresh_kpi(spark: SparkSession, database: str, everything: bool = False) ->
         "total_headcount": F.when(some, F.col("total_headcount")),
     })
     version, folder = V.fresh_folder(spark, table)
-    written = V.write_days(kpi, folder, DAY, ["store_id"])
-    seq = V.commit(spark, table, DAY, version, folder, touched, written, last)
-    V.switch(spark, table, DAY, seq)
+    columns = [c for c in stored.columns if c != MONTH]
+    written = V.write_days(kpi.select(*columns, month), folder, MONTH, [DAY, "store_id"])
+    seq = V.commit(spark, table, MONTH, version, folder, touched, written, last)
+    V.switch(spark, table, MONTH, seq)
     _drop_segments(spark, f"{database}.{KPI_CHANGES}", lambda n: n <= last)
     return len(touched)
 

@@ -40,7 +40,7 @@ SCALE_CONFS = {
     # byte: keep such tiny shuffles (rebalance before a partitioned write)
     # spread over several tasks instead of coalescing them into one. With
     # large shuffles AQE's computed target size is far above this floor.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(128 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(32 * 1024),
 }
 
 
