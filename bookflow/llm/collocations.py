@@ -21,6 +21,7 @@ text and lang aren't read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -248,6 +249,10 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
     three = (triples.join(left, ["id1", "id2"]).join(right, ["id2", "id3"]).join(of(1), "id1").join(of(2), "id2").join(of(3), "id3")
              .withColumn("s1", F.expr(_score("f", "f1", "f23"))).withColumn("s2", F.expr(_score("f", "f12", "f3")))
              .selectExpr("lang", "concat_ws(' ', w1, w2, w3) phrase", "f a", "if(s1 <= s2, f1, f12) l", "if(s1 <= s2, f23, f3) r", "least(s1, s2) score"))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = two.union(three).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), "phrase"
+    # the first of each part of a language, then of those: about the root of all its phrases meets in a task
+    parts = max(1, math.isqrt((pairs.count() + triples.count()) // top))
+    best = two.union(three).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    for keys in (["lang", "part"], ["lang"]):
+        best = best.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= top)
     return best.join(languages, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
