@@ -31,7 +31,6 @@ PARTS = ["ingest_date", "run", "store"]
 # How landing files are written, and read by a stream.
 CSV_OPTIONS = {"header": "true", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 CSV_ENCODING = "UTF-8"
-_LISTING = "path string, modificationTime timestamp, length bigint, content binary, " + ", ".join(f"{p} string" for p in PARTS)
 
 
 def write_landing(valid: DataFrame, root: str, upload_type: str = "scheduled", folder: str = DATA) -> None:
@@ -86,12 +85,16 @@ def inventory(spark: SparkSession, root: str, max_results: int | None = None, fo
     are listed. File contents are never read."""
     configure(spark)
     root = root.rstrip("/")
-    files = (
+    listed = (
         spark.read.format("binaryFile")
-        .schema(_LISTING)  # an emptied folder has no levels to infer
         .option("pathGlobFilter", "*.csv")
         .option("basePath", f"{root}/{folder}")
         .load(f"{root}/{folder}" + (f"/ingest_date={ingest_date}" if ingest_date else ""))
+    )
+    # an emptied folder has no levels to infer
+    listed = listed.withColumns({p: F.lit(None).cast("string") for p in PARTS if p not in listed.columns})
+    files = (
+        listed
         .select("path", "length", "modificationTime", *PARTS)
         .withColumnsRenamed({"run": "run_id", "store": "store_id"})
         .groupBy("ingest_date", "run_id", "store_id")
@@ -158,7 +161,8 @@ def table_profile(spark: SparkSession, table: str) -> DataFrame:
         F.coalesce(F.sum("file_size"), F.lit(0)).alias("num_bytes"),
         F.max("file_modification_time").alias("last_modified_time"),
     )
-    created = F.to_timestamp(F.lit(about["Created Time"]), "EEE MMM dd HH:mm:ss zzz yyyy")
+    # e.g. "Thu Jan 02 03:04:05 UTC 2025"; the day of the week can't be parsed
+    created = F.to_timestamp(F.lit(about["Created Time"].split(" ", 1)[1]), "MMM dd HH:mm:ss zzz yyyy")
     return stats.select(
         F.lit(table).alias("table_id"),
         "num_rows",

@@ -140,6 +140,8 @@ def append_stage(spark: SparkSession, database: str, valid: DataFrame, source: s
     input_files, input_bytes; a listing)."""
     rows = conform(valid).withColumn(STAGE_PARTITION, F.to_date("ingestion_ts"))
     loads = materialize(rows.groupBy("run_id", "store_id", STAGE_PARTITION).agg(F.count(F.lit(1)).alias("output_rows")), "stage-loads")
+    if loads.isEmpty():
+        return {"output_rows": 0}
     # before the rows: a date that is entered in vain does no harm, a missing one would hide rows
     _insert(loads.select("run_id", STAGE_PARTITION).distinct().coalesce(1), f"{database}.{STAGE_RUNS}")
     obs = Observation("stage_load")
