@@ -9,8 +9,11 @@ Depth-limited radix sort, most significant digit first; only suffixes that still
 2. Stretches met at least twice as a whole are repeats throughout.
 3. Where one anchor has different stretches, one of each is fetched and its windows are ordered by further digits of
    growing width until ``length`` bytes are used; windows that stay together are compared byte by byte and repeated.
+4. An anchor with more than ``STRETCHES`` different ones isn't held in one task: the last digit, all ``length`` bytes of
+   each window, is counted by Spark for all its windows, over as many tasks as they need.
 
-Step 1 uses 64-bit hashes for anchors and, within one anchor, 64 further bits for stretches; step 3 compares bytes.
+Step 1 uses 64-bit hashes for anchors and, within one anchor, 64 further bits for stretches (step 4: for windows); step
+3 compares bytes.
 Every row's spans depend on its text alone, given the corpus: repeated rows and texts get the same spans. A row is known
 by its id and 64 hash bits of its text, one without an id by 128 hash bits of its text.
 
@@ -35,6 +38,8 @@ _PLACE_BITS = np.uint64(28)
 #: Windows ordered at a time in step 3.
 _WINDOWS = 1 << 18
 _DIGITS = (8, 8, 16, 32)
+#: Different stretches of an anchor that one task orders.
+STRETCHES = 2048
 OUTPUT = ("n_bytes", "n_removed", "spans", "kept")
 
 
@@ -107,6 +112,33 @@ def _contents(length: int):
     return rows
 
 
+_WINDOW = "h long, w long, doc long, mark long, start int, whole boolean"
+
+
+def _digits(length: int):
+    """The last digit of each window of the wanted stretches."""
+    schema = pa.schema([("h", pa.int64()), ("w", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("whole", pa.bool_())])
+
+    def rows(batches):
+        for batch, data, off in text_slices(batches):
+            wanted = batch.column(batch.schema.get_field_index("wanted"))
+            flat = wanted.flatten()
+            field = {f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
+            row = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy(zero_copy_only=False))
+            rolling = Rolling(data)
+            number = field["windows"].astype(np.int64)
+            some = np.cumsum(number) // _WINDOWS
+            for part in np.unique(some):  # so many windows at a time
+                own = np.flatnonzero(some == part)
+                k = np.repeat(own, number[own])
+                start = field["start"][k] + np.arange(len(k)) - np.repeat(np.cumsum(number[own]) - number[own], number[own])
+                at = off[row[k]] + start
+                doc, mark = (batch.column(i).to_numpy(zero_copy_only=False)[row[k]] for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(field["h"][k]), pa.array(rolling.ranges(at, at + length).view(np.int64)), pa.array(doc, pa.int64()),
+                                                  pa.array(mark, pa.int64()), pa.array(start.astype(np.int32)), pa.array(field["whole"][k])], schema=schema)
+    return rows
+
+
 def repeated_windows(data: np.ndarray, base: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """Which of the windows at ``base`` equal another window of their group: radix passes over bytes, singles dropped."""
     rolling = Rolling(data)
@@ -232,36 +264,46 @@ def _texts(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, stretches_: int = STRETCHES) -> DataFrame:
     """(doc, mark, start, end) of repeated bytes in ``docs`` (doc, mark, text); spans may touch or overlap."""
     stretch = docs.select("doc", "mark", "text").mapInArrow(_stretch_rows(length, anchor), _STRETCH).repartition("h")
     same = W.partitionBy("h", "c")
     seen = (stretch.withColumn("at_c", F.sum(F.size("docs")).over(same))
             .withColumn("first", F.row_number().over(same.orderBy("c")) == 1)
-            .withColumn("at_h", F.sum(F.size("docs")).over(W.partitionBy("h"))).filter("at_h > 1"))
+            .withColumn("at_h", F.sum(F.size("docs")).over(W.partitionBy("h")))
+            .withColumn("hot", F.sum(F.col("first").cast("int")).over(W.partitionBy("h")) > stretches_).filter("at_h > 1"))
     seen = materialize(seen.withColumn("whole", F.expr("at_c > 1")).withColumn("mixed", F.expr("at_h > at_c")).drop("at_c", "at_h"), "stretches")
     whole = (seen.filter("whole").select("windows", F.explode(F.arrays_zip("docs", "marks", "starts")).alias("o"))
              .selectExpr("o.docs doc", "o.marks mark", "o.starts start", f"o.starts + windows + {length - 1} end"))
-    wanted = (seen.filter("mixed and first").selectExpr("docs[0] doc", "marks[0] mark", "struct(h, starts[0] start, windows, place, whole) w")
-              .groupBy("doc", "mark").agg(F.collect_list("w").alias("wanted")))
-    texts = docs.select("doc", "mark", "text").join(wanted, ["doc", "mark"])
-    contents = texts.mapInArrow(_contents(length), _CONTENT).repartition("h").sortWithinPartitions("h")
-    return whole.union(contents.mapInArrow(_ordered(length), _SPAN))
+
+    def texts(which):
+        """The texts that hold the first of each such stretch, with these."""
+        wanted = (seen.filter(f"mixed and first and {which}").selectExpr("docs[0] doc", "marks[0] mark", "struct(h, starts[0] start, windows, place, whole) w")
+                  .groupBy("doc", "mark").agg(F.collect_list("w").alias("wanted")))
+        return docs.select("doc", "mark", "text").join(wanted, ["doc", "mark"])
+
+    contents = texts("not hot").mapInArrow(_contents(length), _CONTENT).repartition("h").sortWithinPartitions("h")
+    found = whole.union(contents.mapInArrow(_ordered(length), _SPAN))
+    if seen.filter("hot").isEmpty():
+        return found
+    windows = materialize(texts("hot").mapInArrow(_digits(length), _WINDOW), "windows")
+    often = windows.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "w")
+    return found.union(windows.filter("not whole").join(often, ["h", "w"], "left_semi").selectExpr("doc", "mark", "start", f"start + {length} end"))
 
 
-def _with_spans(docs: DataFrame, own: list[str], length: int, anchor: int) -> DataFrame:
+def _with_spans(docs: DataFrame, own: list[str], length: int, anchor: int, stretches_: int = STRETCHES) -> DataFrame:
     keyed = small_batches(docs).select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in own if c != "text")).alias("row"),
                         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("text"), "text")).alias("doc"),
                         F.xxhash64("text").alias("mark"), F.col("text"))
-    spans = (repeated_spans(keyed, length, anchor).distinct().groupBy("doc", "mark")
+    spans = (repeated_spans(keyed, length, anchor, stretches_).distinct().groupBy("doc", "mark")
              .agg(F.collect_list(F.struct("start", "end")).alias("found")))
     return keyed.join(spans, ["doc", "mark"], "left").select("row", "text", "found")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, stretches_: int = STRETCHES) -> DataFrame:
     """``docs`` (doc_id, text, any others) with n_bytes, n_removed, spans (start, end in UTF-8 bytes) and kept (binary)."""
     own = [c for c in docs.columns if c.lower() not in OUTPUT]
-    joined = _with_spans(docs, own, length, anchor)
+    joined = _with_spans(docs, own, length, anchor, stretches_)
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(_removed, f"row {kind}, text string, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
     return out.select(*((F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in own), *OUTPUT)
