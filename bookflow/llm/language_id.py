@@ -6,9 +6,9 @@ to ``CHAIN`` consecutive words of a text; transitions between languages are lear
 chains put together of pieces in different languages. Forward-backward gives every word's probabilities; all words of
 a text count, and the text's language is the one with the most.
 
-The model is fitted in numpy on at most ``SAMPLE`` labelled documents (by hash, spread over the languages, ``EACH`` of
-one at most) and at most ``CHARS`` characters of each, from its middle; prediction reads whole texts. The languages are
-those in the sample.
+The model is fitted in numpy on the whole texts of at most ``SAMPLE`` labelled documents (by hash, spread over the
+languages, ``EACH`` of one at most), read ``FIT_BYTES`` at a time; of a text only its words' numbers are kept. The
+languages are those in the sample.
 
 Null text and text without a letter is ``und`` with score 0; without any labelled document everything is ``und``;
 repeated rows are predicted each; an empty table gives an empty result.
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from bookflow.llm.common import small_batches, text_slices, utf8
 from bookflow.llm.words import Words
 
-SAMPLE = 1600
+SAMPLE = 2000
 EACH = 800
-CHARS = 4096
+FIT_BYTES = 1 << 20
 CHAIN = 64
 BUCKETS = 1 << 17
 LEXICON = 500
@@ -110,24 +110,59 @@ def forward_backward(emission: np.ndarray, length: np.ndarray, transition: np.nd
     return p, pair
 
 
+class Sample:
+    """The words of the fitting texts: each distinct word's hash and features, and every text's words by number."""
+
+    def __init__(self, texts: list[str]):
+        self.number: dict[int, int] = {}
+        parts, sizes, words, counts = [], [], [], []
+        for lo, hi in _batches(texts):
+            w = Words(*utf8(pa.array(texts[lo:hi], pa.string())))
+            counts.append(w.count)
+            if not len(w.hash):
+                continue
+            bucket, first = features(w)
+            size = np.diff(np.append(first, len(bucket)))
+            known = len(self.number)
+            at = np.array([self.number.setdefault(h, len(self.number)) for h in w.hash.tolist()], np.int32)
+            new = np.flatnonzero(at >= known)
+            parts.append(bucket[np.repeat(first[new] - (np.cumsum(size[new]) - size[new]), size[new]) + np.arange(size[new].sum())])
+            sizes.append(size[new])
+            words.append(at[w.inverse])
+        none = np.zeros(0, np.int64)
+        self.hash = np.array(list(self.number), np.uint64)
+        self.bucket, self.size = np.concatenate([none, *parts]), np.concatenate([none, *sizes])
+        self.word, self.count = np.concatenate([none.astype(np.int32), *words]), np.concatenate([none, *counts])
+
+
+def _batches(texts: list[str]):
+    """Ranges of texts of about ``FIT_BYTES`` characters."""
+    lo = total = 0
+    for i, t in enumerate(texts):
+        total += len(t)
+        if total >= FIT_BYTES or i == len(texts) - 1:
+            yield lo, i + 1
+            lo, total = i + 1, 0
+
+
 def fit(texts: list[str], languages: list[str]) -> Model:
     """The field for texts with a language each."""
     names = sorted(set(languages))
-    label = np.array([names.index(x) for x in languages])
-    data, off = utf8(pa.array(texts, pa.string()))
-    words = Words(data, off)
+    label = np.array([names.index(x) for x in languages], np.int64)
+    words = Sample(texts)
     lexicon: dict[int, np.ndarray] = {}
+    of_word = np.repeat(label, words.count)
     for j in range(len(names)):
-        seen = np.bincount(words.inverse[label[words.row] == j], minlength=len(words.hash))
-        for i in np.argsort(-seen, kind="stable")[:LEXICON].tolist():
+        seen = np.bincount(words.word[of_word == j], minlength=len(words.hash))
+        for i in np.lexsort((words.hash, -seen))[:LEXICON].tolist():
             if seen[i] > 1:
                 lexicon.setdefault(int(words.hash[i]), np.zeros(len(names), np.float32))[j] = 1
     model = Model(names, lexicon)
     has = np.flatnonzero(words.count)
     if len(names) < 2 or not len(has):
         return model
-    bucket, first = features(words)
-    size = np.diff(np.append(first, len(bucket)))
+    bucket, size = words.bucket, words.size
+    first = np.cumsum(size) - size
     member = model.members(words)
     begin = np.cumsum(words.count) - words.count
     by_language = [has[label[has] == j] for j in range(len(names))]
@@ -144,7 +179,7 @@ def fit(texts: list[str], languages: list[str]) -> Model:
                 doc = docs[rng.integers(len(docs))]
                 n = min(int(rng.integers(4, CHAIN)), CHAIN - at, int(words.count[doc]))
                 s = begin[doc] + rng.integers(words.count[doc] - n + 1)
-                word[c, at:at + n] = words.inverse[s:s + n]
+                word[c, at:at + n] = words.word[s:s + n]
                 gold[c, at:at + n] = j
                 at += n
         distinct, inverse = np.unique(word, return_inverse=True)
@@ -216,14 +251,15 @@ def _marginals(emission, live, transition):
     return forward.transpose(1, 0, 2)
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, chars: int = CHARS) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """The field for the documents that aren't held out; the driver gets the sample alone."""
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    text = F.expr(f"substring(text, greatest(1, int((length(text) - {chars}) / 2)), {chars})")
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     # ids alone are ranked, so no text is dealt out; rank by rank until the sample is full: a rare language is in it first
-    ids = known.select("lang", "doc_id").withColumn("n", rank).filter(F.col("n") <= EACH).orderBy("n", "lang").limit(sample)
-    rows = (known.select("lang", "doc_id", text.alias("text")).join(F.broadcast(ids.distinct()), ["lang", "doc_id"])
+    ids = known.select("lang", "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
+    for keys in (["lang", "part"], ["lang"]):  # the first of each part of a language, then of those
+        ids = ids.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("n") <= EACH)
+    ids = ids.orderBy("n", "lang").limit(sample).select("lang", "doc_id", "n")
+    rows = (known.select("lang", "doc_id", "text").join(F.broadcast(ids.distinct()), ["lang", "doc_id"])
             .orderBy("n", "lang", "text").limit(sample).select("lang", "text").collect())
     return fit([r.text for r in rows], [r.lang for r in rows])
 
