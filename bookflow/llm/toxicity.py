@@ -5,8 +5,8 @@ forms of a known stem have one. Filters of widths 1, 2 and 3 run over all words
 the whole text (max pooling, then ReLU) go through one dense layer. What the filters give for a distinct word is
 worked out once a slice; a text's outputs are sums of these over neighbouring words.
 
-The net is fitted on a bounded sample of labelled documents that aren't held out: at most ``SAMPLE`` of each label, by
-hash, and at most ``CHARS`` characters of each, from the middle; scoring reads whole texts. A fifth of the sample sets
+The net is fitted on the whole texts of a bounded sample of labelled documents that aren't held out: at most ``SAMPLE``
+of each label, by hash, in batches of bounded size. A fifth of the sample sets
 a threshold for each language: scores are moved so that it becomes ``CUT``. The language is guessed from the text by
 the frequent words of the sample's languages; the column lang is no input of a score.
 
@@ -27,7 +27,6 @@ from bookflow.llm.language_id import held_out
 from bookflow.llm.words import Words
 
 SAMPLE = 2500
-CHARS = 20000
 CUT = 0.3
 BUCKETS = 1 << 16
 SIZE = 12
@@ -205,8 +204,8 @@ def fit(texts: list[str], labels: list[int], languages: list[str | None], epochs
     trial.votes = model.votes
     _train(trial, [t for t, c in zip(texts, check) if not c], label[~check], epochs)
     rest = [t for t, c in zip(texts, check) if c]
-    parts = [_words(rest[i:i + 64]) for i in range(0, len(rest), 64)]
-    z, language = (np.concatenate(x) for x in ([trial.logits(w).astype(np.float64) for w in parts], [trial.language(w) for w in parts]))
+    seen = [(trial.logits(w).astype(np.float64), trial.language(w)) for w in (_words(rest[i:i + 64]) for i in range(0, len(rest), 64))]
+    z, language = (np.concatenate(x) for x in zip(*seen))
     common = _threshold(z, label[check])
     for j in range(len(model.shift)):
         own = language == j
@@ -216,14 +215,13 @@ def fit(texts: list[str], labels: list[int], languages: list[str | None], epochs
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = CHARS, epochs: int = EPOCHS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> Model:
     """The net for the labelled documents that aren't held out; the driver gets the sample alone."""
     toxic = (labels.filter("toxic is not null").filter(~held_out())
              .groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("y")))
     some = toxic.filter("y = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).union(
         toxic.filter("y = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    text = F.expr(f"substring(text, greatest(1, int((length(text) - {chars}) / 2)), {chars})")
-    rows = (docs.filter("text is not null").select("doc_id", text.alias("text"), "lang").join(F.broadcast(some), "doc_id")
+    rows = (docs.filter("text is not null").select("doc_id", "text", "lang").join(F.broadcast(some), "doc_id")
             .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * sample).select("text", "y", "lang").collect())
     return fit([r.text for r in rows], [r.y for r in rows], [r.lang for r in rows], epochs)
 
