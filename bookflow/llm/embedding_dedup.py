@@ -3,20 +3,22 @@
 1. Equal vectors become one vertex with a weight. Unusable vectors (null, zero, null or non-finite components) take no
    part. Vectors of different lengths never link.
 2. Centroids are fitted on a bounded sample (``SAMPLE`` vectors at most); every vector goes to its ``overlap`` nearest
-   clusters. A cluster over ``SHARD`` vectors is cut into blocks by hash, and each block and each pair of blocks is a
-   shard of its own, so no task gets more than two blocks whatever one cluster holds.
+   clusters. Where the table needs more clusters than ``CENTROIDS``, each of these cells is cut in the same way by
+   centroids of its own, fitted in a task on a sample of the cell, so clusters keep their size as the table grows. A
+   cluster over ``SHARD`` vectors is cut into blocks by hash, and each block and each pair of blocks is a shard of its
+   own, so no task gets more than two blocks whatever one cluster holds.
 3. In each shard a flat graph is built: vertices come in batches, search the graph so far from the shard's medoid,
    and keep neighbours by robust pruning, in both directions.
 4. The shards' adjacency lists are united by vertex.
 5. Every vertex searches the united graph within each of its shards from the medoid and itself; within the range every
    vertex found is expanded until nothing new is in range. Pairs in range are verified by their cosine in double
    precision, counted in the least cluster that both are in, and joined into components in the shard; pairs never
-   leave it. Each shard compares the pairs that it counts with one another too (a shard is bounded), so a pair that
-   its search missed is counted, whether another cluster's search found it or not.
+   leave it. Nothing else finds pairs.
 6. Recall is audited: a sample (by hash, growing with the root of the table) is compared with all vectors; recall is the
    mean over vectors of the part of their links found, apart for vectors with few and with many links, and the least of
-   these counts. Below ``target`` the clusters overlap twice as much, until at last there is one cluster, whose pairs
-   of blocks hold every pair there is. If even that is under the target, the query fails.
+   these counts. Below ``target`` the beam widens and the clusters overlap twice as much, until at last there is one
+   cluster, whose pairs of blocks hold every pair there is, and the beam is as wide as a shard. If even that is under
+   the target, the query fails.
 
 Every row of the input has a row in the result, also unusable ones and repeated ids; an empty table gives an empty
 result.
@@ -40,7 +42,7 @@ SAMPLE = 65536
 CENTROIDS = 4096
 OVERLAP = 3
 DEGREE = 24
-BEAM = 32
+BEAM = 16
 ALPHA = 1.2
 #: Vectors audited: at least so many, and so many times the root of all; more until so many of them have links.
 AUDIT = 256
@@ -255,10 +257,6 @@ def _search(cosine: float, beam: int):
         for i, o in enumerate(near):
             graph.out[i, :len(o)] = o
         found = range_links(graph, x, cosine, beam)
-        for i in range(0, len(k), _BATCH):  # what the search missed
-            found[i:i + _BATCH] |= x[i:i + _BATCH] @ x.T >= cosine
-        found |= found.T
-        np.fill_diagonal(found, False)
         # a pair counts in the least cluster it has in common, and in its blocks' shard only
         here, pair = int(pdf["cluster"][0]), pdf["lo"][0] != pdf["hi"][0]
         block = pdf["block"].to_numpy()
@@ -283,6 +281,53 @@ def _search(cosine: float, beam: int):
     return group
 
 
+def _share(cell: str, size: int):
+    """Rows of a cell dealt to ``size`` (a column) parts by hash."""
+    return F.pmod(F.xxhash64("k", cell), size)
+
+
+def _fit_cell(shard: int):
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("k", ignore_index=True)
+        want = max(1, min(CENTROIDS, math.ceil(int(pdf["many"][0]) / shard)))
+        out = []
+        for d, part in pdf.groupby(pdf["vector"].map(len)):
+            x = _matrix(part["vector"])
+            out += [(int(pdf["cell"][0]), int(pdf["many"][0]), int(d), i, c.tolist()) for i, c in enumerate(fit_centroids(x, min(want, len(x))))]
+        return pd.DataFrame(out, columns=["cell", "many", "d", "i", "centre"])
+    return group
+
+
+def _assign_cell(overlap: int):
+    def group(rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for d, part in rows.groupby(rows["vector"].map(len)):
+            own = centres[centres["d"] == d].sort_values("i")
+            if len(own):
+                near = np.argsort(-(_matrix(part["vector"]) @ np.stack(own["centre"].to_numpy()).T), axis=1, kind="stable")[:, :overlap]
+            else:
+                near = np.zeros((len(part), 1), int)  # the sample had no vector of this length
+            out.append(pd.DataFrame({"k": part["k"].to_numpy(), "cell": part["cell"].to_numpy(), "part": [[int(d) * (CENTROIDS + 1) + x for x in o] for o in near.tolist()]}))
+        return pd.concat(out) if out else pd.DataFrame({"k": [], "cell": [], "part": []})
+    return group
+
+
+def _cut_cells(assigned: DataFrame, overlap: int, shard: int) -> DataFrame:
+    """``assigned`` with clusters that are parts of its cells. A cell's vectors are dealt over tasks, each with the cell's
+    centroids; only a sample of them (``SAMPLE`` at most, about) meets to fit those."""
+    held = materialize(assigned.withColumn("cell", F.explode("clusters")).select("k", "vector", "cell"), "embedding_cells")
+    many = held.groupBy("cell").agg(F.count("*").alias("many"))
+    sized = held.join(F.broadcast(many), "cell")  # a row a cell: at most CENTROIDS for each length of vectors
+    some = sized.filter(_share("cell", F.greatest(F.lit(shard // 32 + 1), F.ceil(F.col("many") / SAMPLE))) == 0)
+    centres = materialize(some.groupBy("cell").applyInPandas(_fit_cell(shard), "cell long, many long, d long, i long, centre array<double>"), "embedding_centres")
+    parts = F.ceil(F.col("many") / (8 * shard))
+    dealt = sized.withColumn("part", F.pmod(F.xxhash64("k", F.lit(1)), parts))
+    spread = centres.withColumn("part", F.explode(F.sequence(F.lit(0).cast('long'), parts - 1)))
+    cut = dealt.groupBy("cell", "part").cogroup(spread.groupBy("cell", "part")).applyInPandas(_assign_cell(overlap), "k long, cell long, part array<long>")
+    ids = cut.select("k", F.explode("part").alias("part"), "cell").select("k", F.xxhash64("cell", "part").bitwiseAND(F.lit((1 << 63) - 1)).alias("cluster"))
+    return assigned.drop("clusters").join(ids.groupBy("k").agg(F.sort_array(F.collect_set("cluster")).alias("clusters")), "k")
+
+
 def _true_links(sample: np.ndarray, cosine: float):
     """How many vectors of each batch link with each of the sample's (with itself, if that is in the batch)."""
     def rows(batches):
@@ -323,20 +368,23 @@ def audit_recall(vertices: DataFrame, links: DataFrame, cosine: float = COSINE,
 
 
 def _clusters(n: int, overlap: int, shard: int) -> int:
-    """One if vectors would be in all of them anyway."""
-    clusters = max(1, min(CENTROIDS, math.ceil(n * overlap / shard)))
+    """Clusters wanted: one if vectors would be in all of them anyway."""
+    clusters = max(1, math.ceil(n * overlap / shard))
     return clusters if overlap < clusters else 1
 
 
-def _links(vertices: DataFrame, n: int, cosine: float, overlap: int, beam: int, shard: int) -> DataFrame:
+def _links(vertices: DataFrame, n: int, cosine: float, overlap: int, beam: int, shard: int, centroids: int) -> DataFrame:
     """(k, links, root) per vertex and shard."""
-    clusters = _clusters(n, overlap, shard)
+    wanted = _clusters(n, overlap, shard)
+    clusters = min(wanted, centroids)
     sample = vertices.select("k", "vector").orderBy("k").limit(min(SAMPLE, 32 * clusters)).select("vector").toPandas()["vector"] if clusters > 1 else []
     centres = {}
     for d in {len(v) for v in sample}:
         x = _unit(np.array([v for v in sample if len(v) == d], np.float64))
         centres[d] = fit_centroids(x, max(1, min(clusters, len(x))))
     assigned = vertices.mapInArrow(_assign(centres, overlap), "k long, vector array<double>, weight long, clusters array<long>")
+    if wanted > clusters:
+        assigned = _cut_cells(assigned, overlap, shard)
     rows = materialize(assigned.withColumn("cluster", F.explode("clusters")), "embedding_clusters")
     blocks = rows.groupBy("cluster").agg(F.ceil(F.count("*") / shard).cast("int").alias("blocks"))
     rows = rows.join(F.broadcast(blocks), "cluster").withColumn("block", F.pmod(F.xxhash64("k", "cluster"), "blocks").cast("int"))
@@ -349,7 +397,7 @@ def _links(vertices: DataFrame, n: int, cosine: float, overlap: int, beam: int,
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP, beam: int = BEAM,
-                    shard: int = SHARD, target: float = TARGET) -> DataFrame:
+                    shard: int = SHARD, target: float = TARGET, centroids: int = CENTROIDS) -> DataFrame:
     """A row per row of ``embeddings`` (vec_id, embedding, any others): vec_id, n_links, component_id, kept."""
     x = F.col("embedding").cast("array<double>")
     usable = F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0), F.lit(False))
@@ -358,15 +406,15 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, overlap: int
     vertices = materialize(rows.filter("k is not null").groupBy("k", "vector").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least")), "embedding_vertices")
     n = vertices.count()
     while True:
-        found = _links(vertices.select("k", "vector", "weight"), n, cosine, overlap, beam, shard)
+        found = _links(vertices.select("k", "vector", "weight"), n, cosine, overlap, beam, shard, centroids)
         links = found.groupBy("k").agg(F.sum("links").alias("links"))
         recall = audit_recall(vertices.select("k", "vector", "weight"), links, cosine, max(AUDIT, math.ceil(AUDIT_ROOT * math.sqrt(n))))
         logging.getLogger(__name__).info("recall %.4f with overlap %d and beam %d", recall, overlap, beam)
         if recall >= target:
             break
-        if overlap >= CENTROIDS:
-            raise RuntimeError(f"recall {recall:.4f} is under {target} with all vectors in one cluster")
-        overlap = overlap * 2 if _clusters(n, overlap * 2, shard) > 1 else CENTROIDS
+        if _clusters(n, overlap, shard) == 1 and beam >= 2 * shard:
+            raise RuntimeError(f"recall {recall:.4f} is under {target} with all vectors in one cluster and in the beam")
+        overlap, beam = overlap * 2, min(beam * 4, 2 * shard)
     root = components(found.filter("k <> root").selectExpr("k a", "root b"), "embedding_components")
     rooted = vertices.select("k", "weight", "least").join(root, vertices.k == root.id, "left").select("k", "weight", "least", F.coalesce("root", F.xxhash64("k")).alias("root"))
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

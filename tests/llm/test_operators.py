@@ -167,6 +167,41 @@ def test_embedding_recall_is_per_vector(spark):
     assert embedding_dedup.audit_recall(vertices, links) <= 0.51
 
 
+def _planted(rng, d=32):
+    """Groups of two to 300 alike vectors, a chain and single ones, about their all-pairs links."""
+    groups = [np.repeat(rng.normal(size=(1, d)), n, axis=0) + rng.normal(size=(n, d)) * s for n, s in [(2, 0.3)] * 60 + [(20, 0.3)] * 10 + [(300, 0.25)]]
+    chain = np.cumsum(np.concatenate((rng.normal(size=(1, d)), rng.normal(size=(120, d)) * 0.3)), axis=0)
+    x = np.concatenate((*groups, chain, rng.normal(size=(400, d))))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return x, np.fill_diagonal(t := unit @ unit.T >= 0.9, False) or t
+
+
+def test_embedding_graph_alone_finds_planted_links():
+    x, want = _planted(np.random.default_rng(4))
+    unit = embedding_dedup._unit(x)
+    found = embedding_dedup.range_links(embedding_dedup.build_graph(unit), unit, 0.9, embedding_dedup.BEAM)
+    linked = want.any(axis=1)
+    assert not (found & ~want).any()
+    assert (found.sum(axis=1)[linked] / want.sum(axis=1)[linked]).mean() >= 0.99
+
+
+@pytest.mark.parametrize("centroids", [embedding_dedup.CENTROIDS, 4])
+def test_embedding_planted_groups_over_clusters(spark, centroids):
+    """Few and many clusters, and clusters that are parts of cells; extra columns, repeated ids, an empty table."""
+    x, want = _planted(np.random.default_rng(6))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, n_links int")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, shard=200, centroids=centroids).collect()}
+    links, linked = want.sum(axis=1), want.any(axis=1)
+    mine = np.array([got[i].n_links for i in range(len(x))])
+    assert (mine <= links).all() and (mine[linked] / links[linked]).mean() >= 0.99
+    pairs = np.arange(0, 120, 2)  # the groups of two that are alike: one component each
+    alike = [i for i in pairs if want[i, i + 1] and links[i] == links[i + 1] == 1]
+    assert len(alike) > 20 and sum(got[i + 1].component_id == i and got[i].kept and not got[i + 1].kept for i in alike) >= 0.98 * len(alike)
+    twice = df.limit(3).union(df.limit(3)).union(spark.createDataFrame([(None, [1.0] * 32, 1)], df.schema))
+    assert [(r.vec_id, r.n_links) for r in embedding_dedup.near_duplicates(twice).orderBy("vec_id").collect()][0] == (None, 0)
+    assert embedding_dedup.near_duplicates(df.limit(0)).collect() == []
+
+
 def test_embedding_search_widens_to_the_target_or_fails(spark, monkeypatch):
     x = np.random.default_rng(2).normal(size=(300, 5))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
