@@ -5,7 +5,8 @@ words, inline elements see through). For every node the pages that have it diffe
 child elements) and in content (the text directly in it); the entropy of each over these pages, 0 when all agree and 1
 when all differ, gives the node's importance: 1 - (1 - presentation) x (1 - content). Branches of low importance are
 removed from each page of the host. Pages with the same text count once, so copies of a page don't make its text look
-like boilerplate, and a host needs ``LEAST`` different pages before its tree removes anything.
+like boilerplate. Few pages are little evidence: a node's importance is the mean of what its pages say and of ``PRIOR``
+pages more that say it is content, so it moves smoothly from 1 to what the pages say.
 
 Elements that are presentation by what they are (scripts, styles, menus, footers, forms, and those whose class, id or
 role says advert, sidebar, notice, comments, ...) have no importance anywhere, whatever the host: comments and related links
@@ -14,7 +15,7 @@ judged like all else.
 
 The tree is statistics only: counts are summed per host, node and value before they meet, so a host with a third of
 all pages is no task's burden. Null html is empty; a null URL's host is the empty one; unclosed and misplaced tags are
-read on; repeated pages are extracted each; an empty table gives an empty result.
+read on; repeated pages are extracted each; an empty table gives an empty result; a ``text`` column of the input is replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from bookflow.llm import urls
 from bookflow.llm.common import materialize, small_batches
 
-LEAST = 8
+PRIOR = 1.0
 IMPORTANCE = 0.2
 
 # HTML's element names and the words that name presentation.
@@ -73,6 +74,8 @@ def _words(attributes: str) -> tuple[frozenset[str], str]:
 
 
 class _Node:
+    """``path`` is a hash of the parent's and the own name, so deep nesting costs no more than the nodes."""
+
     __slots__ = ("tag", "path", "children", "texts", "noise", "article", "main", "open")
 
     def __init__(self, tag, path, noise, article, main):
@@ -84,7 +87,7 @@ class Page:
     """The blocks of a page in order: (node, text), and the nodes by path."""
 
     def __init__(self, source: str):
-        root = _Node("", "", False, False, False)
+        root = _Node("", 0, False, False, False)
         self.nodes, self.blocks = [root], []
         stack, text, last, end = [root], [], 0, len(source)
 
@@ -146,7 +149,7 @@ class Page:
             inside = article or up.main or tag == "main"
             noise = up.noise or tag in PRESENTATION or (tag not in ("html", "body", "article", "main") and (
                 bool(words & WORDS) or (not inside and (tag in OUTSIDE or bool(words & OUTSIDE))))) or "hidden" in words or bool(words & {"comment", "comments"}) and tag not in ("html", "body")
-            node = _Node(tag, f"{up.path}/{tag}.{name}" if name else f"{up.path}/{tag}", noise, article and not noise, (up.main or tag == "main") and not noise)
+            node = _Node(tag, _hash(f"{up.path}/{tag}.{name}"), noise, article and not noise, (up.main or tag == "main") and not noise)
             up.children.append(tag)
             self.nodes.append(node)
             if not attributes.rstrip().endswith("/") or tag != "svg":
@@ -178,11 +181,11 @@ def _node_rows(batches):
             hosts.append(host)
             articles.append(_hash("\n".join(t for _, t in page.main())))
             # a node that holds no text itself is judged by its presentation alone
-            nodes.append([{"path": _hash(p), "style": _hash("\n".join(style[p])), "content": _hash("\n".join(c)) if c else None} for p, c in content.items()])
+            nodes.append([{"path": p, "style": _hash("\n".join(style[p])), "content": _hash("\n".join(c)) if c else None} for p, c in content.items()])
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(articles, pa.int64()), pa.array(nodes, pa.list_(value))], names=["host", "article", "nodes"])
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
+def style_tree(pages: DataFrame, prior: float = PRIOR) -> DataFrame:
     """(host, path, pages, importance) of the site style trees of ``pages`` (host, html); path is a hash."""
     rows = (pages.select("host", "html").mapInArrow(_node_rows, "host string, article long, nodes array<struct<path:long,style:long,content:long>>")
             .dropDuplicates(["host", "article"]).select("host", F.explode("nodes").alias("n")))
@@ -196,7 +199,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     tree = entropy.groupBy("host", "path").agg(F.max("m").alias("pages"), F.max(F.when(F.col("kind") == "style", F.col("h"))).alias("style"),
                                                F.max(F.when(F.col("kind") == "content", F.col("h"))).alias("content"))
     importance = F.when(F.col("content").isNull(), F.lit(1.0)).otherwise(1 - (1 - F.coalesce("style", F.lit(0.0))) * (1 - F.col("content")))
-    return tree.select("host", "path", "pages", importance.alias("importance"))
+    return tree.select("host", "path", "pages", ((F.col("pages") * importance + prior) / (F.col("pages") + prior)).alias("importance"))
 
 
 def _extracted(batches):
@@ -206,21 +209,17 @@ def _extracted(batches):
             low = set(low or ())
             blocks = Page(source or "").main()
             if low:
-                known: dict[str, bool] = {}
-                for node, _ in blocks:
-                    if node.path not in known:
-                        known[node.path] = _hash(node.path) not in low
-                blocks = [(n, t) for n, t in blocks if known[n.path]]
+                blocks = [(n, t) for n, t in blocks if n.path not in low]
             out.append(" ".join(t for _, t in blocks))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
 
-def extract(pages: DataFrame, least: int = LEAST, importance: float = IMPORTANCE) -> DataFrame:
+def extract(pages: DataFrame, prior: float = PRIOR, importance: float = IMPORTANCE) -> DataFrame:
     """``pages`` (url, html, any others) without html, with text."""
     own = [c for c in pages.columns if c.lower() not in ("html", "text")]
     held = small_batches(pages).select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), urls.host("url").alias("host"), "html")
-    tree = style_tree(held)
-    low = materialize(tree.filter((F.col("pages") >= least) & (F.col("importance") < importance))
+    tree = style_tree(held, prior)
+    low = materialize(tree.filter(F.col("importance") < importance)
                       .groupBy("host").agg(F.collect_list("path").alias("low")), "style_tree")
     joined = held.join(low, "host", "left").select("row", "html", "low")
     kind = joined.schema["row"].dataType.simpleString()
