@@ -42,7 +42,12 @@ def identify(typed: DataFrame, store_names: DataFrame, run_id, ingestion_ts, pro
     # store_id and store_name both come from the store master (the joined
     # side), as each record takes its store's identity.
     stores = store_names.select(F.col("store_id").alias("_m_store_id"), F.col("store_name").alias("_m_store_name"))
-    j = typed.join(stores, typed["store_id"] == stores["_m_store_id"], "inner")
+    # No NULL id is left among the stores, so <=> joins as = does. From = Spark
+    # would derive, for any filter on reject_reason, a second one on the lines'
+    # own store_id and move it, with all parsing, below the shuffle that
+    # spreads a single-split input.
+    stores = stores.filter(F.col("_m_store_id").isNotNull())
+    j = typed.join(stores, typed["store_id"].eqNullSafe(stores["_m_store_id"]), "inner")
     # Two projections: standardised channel/status are used twice (output and
     # hash), so they are computed once and referenced, not inlined twice.
     std = j.select(

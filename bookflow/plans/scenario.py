@@ -54,14 +54,14 @@ def normalized_all(spark: SparkSession, sf_dir: str, profile="executed") -> Data
                      fixtures.RUN_A["ingestion_ts"], profile, keep=("src_key",))
 
 
-def normalized_run_a(spark: SparkSession, sf_dir: str, profile="executed") -> DataFrame:
-    lines = mapped_lines(spark, sf_dir, profile).filter(F.col("src_key") % 3 != 0)
+def normalized_run_a(spark: SparkSession, sf_dir: str, profile="executed", lines: DataFrame | None = None) -> DataFrame:
+    lines = (mapped_lines(spark, sf_dir, profile) if lines is None else lines).filter(F.col("src_key") % 3 != 0)
     return normalize(lines, active(spark, sf_dir), fixtures.RUN_A["run_id"], fixtures.RUN_A["ingestion_ts"],
                      profile, keep=("src_key",))
 
 
-def normalized_run_b(spark: SparkSession, sf_dir: str, profile="executed") -> DataFrame:
-    lines = mapped_lines(spark, sf_dir, profile).filter(F.col("src_key") % 3 != 2)
+def normalized_run_b(spark: SparkSession, sf_dir: str, profile="executed", lines: DataFrame | None = None) -> DataFrame:
+    lines = (mapped_lines(spark, sf_dir, profile) if lines is None else lines).filter(F.col("src_key") % 3 != 2)
     return normalize(lines, active(spark, sf_dir), fixtures.RUN_B["run_id"], fixtures.RUN_B["ingestion_ts"],
                      profile, adjust=adjust_run_b, keep=("src_key",))
 
@@ -80,11 +80,16 @@ class Scenario:
 
 def build(spark: SparkSession, sf_dir: str, profile="executed", persist_stage: bool = True) -> Scenario:
     """Both runs' loads, the stage table, production after run A and run B's
-    deduplicated source. With ``persist_stage`` the stage is written once
-    (as the pipeline's stage table is) and everything downstream reads it."""
+    deduplicated source. With ``persist_stage`` the export's lines and the
+    stage are written once each (as the pipeline's exports and stage table
+    are) and everything downstream reads them."""
     configure(spark)
-    a = normalized_run_a(spark, sf_dir, profile)
-    b = normalized_run_b(spark, sf_dir, profile)
+    lines = mapped_lines(spark, sf_dir, profile)
+    if persist_stage:
+        # Both runs read the lines; scan, join and spread the export once.
+        lines = materialize(lines, "lines")
+    a = normalized_run_a(spark, sf_dir, profile, lines)
+    b = normalized_run_b(spark, sf_dir, profile, lines)
     if persist_stage:
         # Run B feeds two loads; normalise it once.
         b = materialize(b, "normalized-b")

@@ -41,20 +41,26 @@ def reservations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    k = F.col("o_orderkey")
-    day = F.col("o_orderdate").cast("date")
     base = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        k.alias("k"),
+        F.col("o_orderkey").alias("k"),
         F.col("o_orderpriority").alias("pr"),
         F.col("o_orderstatus").alias("st"),
-        F.concat(F.lit("store"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0")).alias("store_id"),
+        F.col("c_nationkey").alias("nation"),
+        F.col("o_orderdate").cast("date").alias("day"),
+    )
+    # The test tables are single-split files: one task reads and joins them,
+    # so everything that is built or parsed comes after the shuffle.
+    k, day = F.col("k"), F.col("day")
+    base = base.repartition("k").select(
+        "k",
+        "pr",
+        "st",
+        F.concat(F.lit("store"), F.lpad(F.col("nation").cast("string"), 3, "0")).alias("store_id"),
         day.cast("string").alias("d"),
         F.date_sub(day, (k % 30).cast("int")).cast("string").alias("b"),
         (F.lit(11) + k % 15).cast("string").alias("h"),
         F.lpad(((k % 4) * 15).cast("string"), 2, "0").alias("m"),
     )
-    # The test tables are single-split files; parsing them is the work to spread.
-    base = base.repartition("k")
     k, d, b, h, m = (F.col(c) for c in ("k", "d", "b", "h", "m"))
     yyyy, mm, dd = F.substring(d, 1, 4), F.substring(d, 6, 2), F.substring(d, 9, 2)
     return base.select(
